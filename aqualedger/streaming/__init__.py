@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The billing query works on a closed billing month: it has no stream source, watermark,
+stream window, stateful operator or late-data rule, so nothing here is built.  A month
+is re-run as a batch job and written with dynamic partition overwrite
+(``aqualedger.sources.sinks.write_months``), which makes a re-run idempotent.
+"""
