@@ -4,9 +4,8 @@
   split a skewed *left* partition of a left outer join, but never the right one, so a
   hot right key would put its whole fan-out into one task.  Hot right keys are found
   with a pre-aggregated count (bounded top-k, so broadcasting it is safe), their right
-  rows are spread over salt buckets, and their left rows are replicated once per bucket.
-  Because a hot key by definition has right rows, every left row with a hot key matches,
-  so the hot part can be an inner join and stays exact.  Cold keys take the plain join.
+  rows are spread over salt buckets, and their left rows are replicated once per bucket;
+  cold keys pass through the same join with a single bucket.
 * ``broadcast_if_bounded``: broadcast a side only after counting that it is small.
 """
 
@@ -58,8 +57,12 @@ def skew_left_join(
     """``left LEFT OUTER JOIN right ON left.a = right.b AND ...`` (``on`` = [(a, b), ...]).
 
     Column names of the two sides must be disjoint.  With ``hot_rows=None`` this is the
-    plain join and skew is left to AQE.  The salt of a right row is a hash of the row
-    itself, so a recomputed task after an executor loss reproduces the same buckets.
+    plain join and skew is left to AQE.  Otherwise one join on (keys, salt): a right row
+    of a hot key goes to bucket ``hash(row) % salts``, a left row of a hot key is copied
+    once per bucket, cold rows use bucket 0.  A copy that meets an empty bucket yields a
+    NULL-extended row; for hot keys those rows are dropped, which is exact because a hot
+    key has right rows in some bucket.  The salt hashes the row itself, so a task
+    recomputed after an executor loss reproduces the same buckets.
     """
     clash = set(left.columns) & set(right.columns)
     if clash:
@@ -73,23 +76,27 @@ def skew_left_join(
     hot = F.broadcast(hot_keys(right, rkeys, hot_rows, max_hot_keys, max_salts))
     hk = [f"_hk{i}" for i in range(len(on))]
 
-    def tag(df: DataFrame, keys: Sequence[str], salts: str) -> DataFrame:
-        return df.join(hot, _eq(list(zip(keys, hk))), "left").drop(*hk).withColumnRenamed("_salts", salts)
-
-    lt = tag(left, lkeys, "_ls")
-    rt = tag(right, rkeys, "_rs")
-    cold = lt.where(F.col("_ls").isNull()).drop("_ls").join(
-        rt.where(F.col("_rs").isNull()).drop("_rs"), cond, "left"
+    lt = (
+        left.join(hot, _eq(list(zip(lkeys, hk))), "left")
+        .drop(*hk)
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+        .withColumnRenamed("_salts", "_hot")
+    )
+    rt = (
+        right.join(hot, _eq(list(zip(rkeys, hk))), "left")
+        .drop(*hk)
+        .withColumn(
+            "_salt_r",
+            F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
+                F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.col("_salts").cast("long")).cast("int")
+            ),
+        )
+        .withColumn("_matched", F.lit(True))
+        .drop("_salts")
     )
-    hot_left = lt.where(F.col("_ls").isNotNull()).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.col("_ls") - 1))
-    ).drop("_ls")
-    hot_right = rt.where(F.col("_rs").isNotNull()).withColumn(
-        "_salt_r", F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.col("_rs").cast("long")).cast("int")
-    ).drop("_rs")
-    salted = hot_left.join(hot_right, cond & (F.col("_salt") == F.col("_salt_r")), "inner").drop("_salt", "_salt_r")
-    cols = [*left.columns, *right.columns]
-    return cold.select(*cols).unionByName(salted.select(*cols))
+    joined = lt.join(rt, cond & (F.col("_salt") == F.col("_salt_r")), "left")
+    kept = joined.where(F.col("_hot").isNull() | F.col("_matched").isNotNull())
+    return kept.select(*left.columns, *right.columns)
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:

@@ -13,6 +13,9 @@ from .joins import skew_left_join
 from .rates import rate_class
 from .usage import total_usage
 
+# Rows per key above which a right-side join key counts as hot and is salted.
+HOT_ROWS = 100_000
+
 
 def bill_lines_in_window(
     t: BillingTables,
@@ -80,7 +83,7 @@ def transactions(
     end_key: int,
     n_tiers: int = 5,
     strict: bool = True,
-    hot_rows: int | None = None,
+    hot_rows: int | None = HOT_ROWS,
     with_rate_class: bool = False,
 ) -> DataFrame:
     """One row per bill line billed in ``[start_key, end_key]`` (YYYYMMDD) and per block
@@ -88,7 +91,8 @@ def transactions(
 
     The premise join is by premise and bill date only, so a line receives the block use
     of every header on that premise and day.  The result is a bag (no final distinct).
-    ``hot_rows`` turns on salting of hot right-side keys in the fan-out joins.
+    Right-side keys with at least ``hot_rows`` rows are salted in the fan-out joins
+    (customer, premise link, premise and day); ``None`` leaves skew to AQE alone.
     ``with_rate_class`` adds the rate schedule and utility type of the line's rate.
     """
     lines = bill_lines_in_window(t, start_key, end_key, strict, hot_rows).where(
