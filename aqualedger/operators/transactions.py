@@ -85,17 +85,21 @@ def transactions(
     strict: bool = True,
     hot_rows: int | None = HOT_ROWS,
     with_rate_class: bool = False,
+    salt_rows: int | None = None,
 ) -> DataFrame:
     """One row per bill line billed in ``[start_key, end_key]`` (YYYYMMDD) and per block
     header of the line's premise on its bill date; lines with no header keep NULL tiers.
 
     The premise join is by premise and bill date only, so a line receives the block use
     of every header on that premise and day.  The result is a bag (no final distinct).
-    Right-side keys with at least ``hot_rows`` rows are salted in the fan-out joins
-    (customer, premise link, premise and day); ``None`` leaves skew to AQE alone.
+    Right-side keys with at least ``hot_rows`` rows are salted in the two fan-out joins
+    (account to premise links, and premise and day); ``salt_rows`` does the same for
+    the customer-master joins of the bill lines.  ``None`` leaves skew to AQE alone.
     ``with_rate_class`` adds the rate schedule and utility type of the line's rate.
     """
-    lines = bill_lines_in_window(t, start_key, end_key, strict, hot_rows).where(
+    # The customer master is keyed by customer: a hot account is on the left side of those
+    # joins, where AQE's skew-join split applies, so they are not salted here.
+    lines = bill_lines_in_window(t, start_key, end_key, strict, salt_rows).where(
         F.col("cihis_date").between(start_key, end_key)
     )
     if with_rate_class:
