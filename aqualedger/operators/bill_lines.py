@@ -34,7 +34,8 @@ BILL_KEYS = ["cihis_cust", "cihis_date"]
 
 
 def _as_line(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LINE_SCHEMA.fields])
+    """Pick and order the line columns by name and cast them to the line types."""
+    return df.select(*LINE_COLUMNS).to(LINE_SCHEMA)
 
 
 def bill_headers(

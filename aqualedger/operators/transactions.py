@@ -49,32 +49,34 @@ def premise_block_use(
     return block_use_by_premise(headers, pivot, account_premise_link(t.fwacmas), n_tiers, hot_rows)
 
 
+# Output name <- line or block-use column, in the table's column order.
+LAYOUT = [
+    ("rclass", "cihis_class_num1"),
+    ("sch", "cihis_rate1"),
+    ("SIZE", "ssize"),
+    ("act", "cihis_cust"),
+    ("cus", "cisnumberofbilledaccount"),
+    ("prm", "premisenumber"),
+    ("srvcid", "cihis_service"),
+    ("bld", "cihis_date"),
+    ("dys", "days"),
+    ("efd", "fromdate"),
+    ("edt", "todate"),
+    ("billdate", "billdate"),
+    ("numberofdays", "numberofdays"),
+    ("tot_use", "tot_use"),
+    ("tot_amt", "tot_amt"),
+]
+
+
 def _layout(df: DataFrame, n_tiers: int, with_rate_class: bool) -> DataFrame:
-    tiers = range(1, n_tiers + 1)
-    rate_sch = [F.col("rsch").alias("rate_sch")] if with_rate_class else []
-    utl = [F.col("utl_typ").alias("utl")] if with_rate_class else []
-    return df.select(
-        F.col("cihis_class_num1").alias("rclass"),
-        *rate_sch,
-        F.col("cihis_rate1").alias("sch"),
-        F.col("ssize").alias("SIZE"),
-        F.col("cihis_cust").alias("act"),
-        F.col("cisnumberofbilledaccount").alias("cus"),
-        F.col("premisenumber").alias("prm"),
-        F.col("cihis_service").alias("srvcid"),
-        F.col("cihis_date").alias("bld"),
-        F.col("days").alias("dys"),
-        F.col("fromdate").alias("efd"),
-        F.col("todate").alias("edt"),
-        *utl,
-        "billdate",
-        "numberofdays",
-        "tot_use",
-        "tot_amt",
-        *[F.col(f"blkuse_{n}").alias(f"t{n}_use") for n in tiers],
-        *[F.col(f"blkamt_{n}").alias(f"t{n}_amt") for n in tiers],
-        *[F.col(f"blkrate_{n}").alias(f"t{n}_rate") for n in tiers],
-    )
+    cols = list(LAYOUT)
+    if with_rate_class:
+        cols.insert(1, ("rate_sch", "rsch"))
+        cols.insert(cols.index(("edt", "todate")) + 1, ("utl", "utl_typ"))
+    for measure, prefix in (("use", "blkuse"), ("amt", "blkamt"), ("rate", "blkrate")):
+        cols += [(f"t{n}_{measure}", f"{prefix}_{n}") for n in range(1, n_tiers + 1)]
+    return df.selectExpr(*[f"`{src}` AS `{out}`" for out, src in cols])
 
 
 def transactions(

@@ -30,9 +30,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def compare_form(df: DataFrame) -> DataFrame:
-    return df.select(
+    return df.selectExpr(
         *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+            f"CAST(`{f.name}` AS DOUBLE) AS `{f.name}`" if isinstance(f.dataType, T.DecimalType) else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )
