@@ -43,6 +43,15 @@ def key_in_range(ts: Column | str, start_key: int, end_key: int) -> Column:
     return F.to_date(_c(ts)).between(F.lit(key_to_date(start_key)), F.lit(key_to_date(end_key)))
 
 
+def in_months(df, start_key: int, end_key: int, month_col: str = "bill_month"):
+    """Add a partition filter on ``month_col`` (YYYYMM) covering the window when the
+    table is month-partitioned; otherwise return ``df`` unchanged.  Spark cannot derive
+    this filter from a bill-date predicate by itself."""
+    if month_col not in df.columns:
+        return df
+    return df.where(F.col(month_col).between(start_key // 100, end_key // 100))
+
+
 def mdy_key(n: Column | str, strict: bool = True) -> Column:
     """``MMDDYYYY`` int -> ``YYYYMMDD`` int by arithmetic on the digits.
 

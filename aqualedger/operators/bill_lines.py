@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.codes import CODE_BILLING_RECORD
+from ..functions.datekeys import in_months
 from .joins import skew_left_join
 
 # The 15 line columns, by position; names come from the flat-rate branch.
@@ -49,7 +50,7 @@ def bill_headers(
     and shared by both branches; a customer listed twice fans out here."""
     hf = histf.where(F.col("cihis_code") == CODE_BILLING_RECORD)
     if start_key is not None:
-        hf = hf.where(F.col("cihis_date").between(start_key, end_key))
+        hf = in_months(hf, start_key, end_key).where(F.col("cihis_date").between(start_key, end_key))
     hf = hf.select("cihis_cust", "cihis_date", "cihis_reference")
     wcm = customers.select("customernumber", "cisnumberofbilledaccount", "premisenumber")
     return skew_left_join(hf, wcm, [("cihis_cust", "customernumber")], hot_rows=hot_rows).drop("customernumber")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import TXN_BLOCK_HEADER
-from ..functions.datekeys import date_key, key_in_range
+from ..functions.datekeys import date_key, in_months, key_in_range
 from ..functions.text import zero_if_null_sum
 from .joins import skew_left_join
 
@@ -46,7 +46,7 @@ def block_header(hist: DataFrame, start_key: int | None = None, end_key: int | N
     With a window, only headers billed in it are read."""
     h = hist.where(F.col("transactioncode") == TXN_BLOCK_HEADER)
     if start_key is not None:
-        h = h.where(key_in_range("billdate", start_key, end_key))
+        h = in_months(h, start_key, end_key).where(key_in_range("billdate", start_key, end_key))
     return h.select(
         "accountnumber",
         "consumptionhistid",

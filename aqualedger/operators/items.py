@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import CLASS_TYPE_SALES, TYPE_ITEM_RECORD, TYPE_TOTAL_BILLING, item_service_size
-from ..functions.datekeys import date_key, mdy_key, whole_days
+from ..functions.datekeys import date_key, in_months, mdy_key, whole_days
 
 ITEM_GROUP_KEYS = [
     "cihis_cust",
@@ -30,14 +30,18 @@ def item_records(histv: DataFrame, start_key: int | None = None, end_key: int |
     column directly, so it reaches the scan."""
     hv = histv.where((F.col("cihis_class_type1") == CLASS_TYPE_SALES) & (F.col("cihis_type_code") == TYPE_ITEM_RECORD))
     if start_key is not None:
-        hv = hv.where(F.col("cihis_date").between(start_key, end_key))
+        hv = in_months(hv, start_key, end_key).where(F.col("cihis_date").between(start_key, end_key))
     return hv
 
 
-def billing_periods(histv: DataFrame) -> DataFrame:
+def billing_periods(histv: DataFrame, start_key: int | None = None, end_key: int | None = None) -> DataFrame:
     """Total billing records (type 95), renamed so they can join the item records.
-    The type filter sits before the join: after it, unmatched items would be lost."""
-    return histv.where(F.col("cihis_type_code") == TYPE_TOTAL_BILLING).select(
+    The type filter sits before the join: after it, unmatched items would be lost.
+    They join on the item's bill date, so the item window applies to them as well."""
+    tbr = histv.where(F.col("cihis_type_code") == TYPE_TOTAL_BILLING)
+    if start_key is not None:
+        tbr = in_months(tbr, start_key, end_key).where(F.col("cihis_date").between(start_key, end_key))
+    return tbr.select(
         F.col("cihis_cust").alias("tbr_cust"),
         F.col("cihis_date").alias("tbr_date"),
         F.col("cihis_from_date").alias("tbr_from_date"),
@@ -54,9 +58,11 @@ def _with_service_dates(hv: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def _with_billing_period(hv: DataFrame, histv: DataFrame) -> DataFrame:
+def _with_billing_period(
+    hv: DataFrame, histv: DataFrame, start_key: int | None = None, end_key: int | None = None
+) -> DataFrame:
     return hv.join(
-        billing_periods(histv),
+        billing_periods(histv, start_key, end_key),
         (F.col("tbr_cust") == F.col("cihis_cust")) & (F.col("tbr_date") == F.col("cihis_date")),
         "left",
     )
@@ -106,7 +112,7 @@ def billable_items(
     records with the same period multiply the item rows inside the sum, as written.
     """
     hv = item_records(histv, start_key, end_key)
-    j = _with_billing_period(_with_service_dates(hv, items), histv)
+    j = _with_billing_period(_with_service_dates(hv, items), histv, start_key, end_key)
     derived = j.select(
         "cihis_cust",
         "cihis_date",

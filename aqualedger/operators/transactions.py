@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.datekeys import in_months
 from ..sources.landing import BillingTables
 from .bill_lines import bill_headers, bill_items_branch, bill_lines, bill_metered_branch
 from .blocks import account_premise_link, block_header, block_use, block_use_by_premise
@@ -45,7 +46,11 @@ def premise_block_use(
     """Block use per premise for headers billed in the window.  Only blocks of those
     headers are aggregated (semi join before the pivot)."""
     headers = block_header(t.ciconsumptionhist, start_key, end_key)
-    pivot = block_use(t.ciconsumptionhistblock, n_tiers, only_keys=headers)
+    blocks = t.ciconsumptionhistblock
+    if start_key is not None:
+        # blocks landed under their header's bill month (``sinks.land_blocks_by_month``)
+        blocks = in_months(blocks, start_key, end_key)
+    pivot = block_use(blocks, n_tiers, only_keys=headers)
     return block_use_by_premise(headers, pivot, account_premise_link(t.fwacmas), n_tiers, hot_rows)
 
 

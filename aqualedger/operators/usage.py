@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import SIZE_REGISTER, TXN_READING, register_service_size
-from ..functions.datekeys import date_key, elapsed_days, key_in_range
+from ..functions.datekeys import date_key, elapsed_days, in_months, key_in_range
 from ..functions.text import trim_to_null
 from .joins import skew_left_join
 
@@ -31,7 +31,7 @@ def readings(hist: DataFrame, start_key: int | None = None, end_key: int | None
     scan can use it; the bill time is a grouping key later, so this is exact."""
     ch = hist.where(F.col("transactioncode") == TXN_READING)
     if start_key is not None:
-        ch = ch.where(key_in_range("billdate", start_key, end_key))
+        ch = in_months(ch, start_key, end_key).where(key_in_range("billdate", start_key, end_key))
     return ch
 
 

@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 
 from .schemas import SCHEMAS
 
+# Partition column of month-partitioned history (YYYYMM); kept by ``conform`` when present.
+MONTH_COL = "bill_month"
+
 
 def conform(
     df: DataFrame,
@@ -25,7 +28,8 @@ def conform(
     blank_to_null: bool = True,
     rtrim_char: Iterable[str] = (),
 ) -> DataFrame:
-    """Select, cast and clean the columns ``table`` needs, in schema order."""
+    """Select, cast and clean the columns ``table`` needs, in schema order.  A
+    ``bill_month`` partition column is kept, so month filters can prune partitions."""
     rtrim = {c.lower() for c in rtrim_char}
     cols: list[Column] = []
     for field in SCHEMAS[table].fields:
@@ -36,6 +40,8 @@ def conform(
             if blank_to_null:
                 c = F.nullif(c, F.lit(""))
         cols.append(c.alias(field.name))
+    if MONTH_COL in df.columns:
+        cols.append(F.col(MONTH_COL))
     return df.select(*cols)
 
 

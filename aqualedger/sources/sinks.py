@@ -25,3 +25,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the session's checkpoint folder (``spark.checkpoint.dir``,
     shared storage on a cluster) so a lost executor does not recompute its lineage."""
     return df.checkpoint(eager=True)
+
+
+def land_blocks_by_month(blocks: DataFrame, hist: DataFrame, path: str, partition_col: str = "bill_month") -> None:
+    """Land consumption blocks partitioned by the bill month of their block header.
+
+    Blocks carry no date of their own, so without this a month's run must look at the
+    whole block history to find its blocks.  Run it per month on new history (dynamic
+    partition overwrite keeps a re-run idempotent).  A (consumptionhistid, readsequence)
+    identifies one billed record, so it must map to one month; a key with headers in two
+    months would be landed twice and double-counted by a window spanning both, so the
+    job refuses such input instead.
+    """
+    from ..functions.codes import TXN_BLOCK_HEADER
+    from ..functions.datekeys import date_key
+
+    keys = ["consumptionhistid", "readsequence"]
+    months = (
+        hist.where(F.col("transactioncode") == TXN_BLOCK_HEADER)
+        .select(*keys, F.floor(date_key("billdate") / 100).cast("int").alias(partition_col))
+        .where(F.col(partition_col).isNotNull())
+        .distinct()
+    )
+    clash = months.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
+    if clash:
+        raise ValueError(f"block key billed in more than one month, e.g. {clash[0][:2]}")
+    (
+        blocks.join(months, keys, "inner")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .parquet(path)
+    )
