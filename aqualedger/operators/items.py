@@ -103,6 +103,7 @@ def billable_items(
     start_key: int | None = None,
     end_key: int | None = None,
     strict: bool = True,
+    sorted: bool = False,
 ) -> DataFrame:
     """Flat-rate charges summed per customer, bill date, service, class, rate, size,
     service dates, item period and billing period.
@@ -110,6 +111,7 @@ def billable_items(
     Every grouping key stays, including ``efd``/``edt`` that later steps drop: two
     billing periods on one bill split the charges into two groups.  Several type-95
     records with the same period multiply the item rows inside the sum, as written.
+    ``sorted`` orders the output by the group keys (ascending, NULLs last).
     """
     hv = item_records(histv, start_key, end_key)
     j = _with_billing_period(_with_service_dates(hv, items), histv, start_key, end_key)
@@ -129,4 +131,5 @@ def billable_items(
         mdy_key("tbr_to_date", strict).alias("edt"),
         "cihis_amt",
     )
-    return derived.groupBy(*ITEM_GROUP_KEYS).agg(F.sum("cihis_amt").alias("totalcharges"))
+    out = derived.groupBy(*ITEM_GROUP_KEYS).agg(F.sum("cihis_amt").alias("totalcharges"))
+    return out.orderBy(*[F.asc_nulls_last(k) for k in ITEM_GROUP_KEYS]) if sorted else out

@@ -74,13 +74,15 @@ def total_usage(
     end_key: int | None = None,
     keep_raw_billdate: bool = False,
     hot_rows: int | None = None,
+    sorted: bool = False,
 ) -> DataFrame:
     """Consumption and charges per account, bill time, service, meter, class, rate,
     size, days, read dates, CIS number and premise.
 
     Grouping is on the raw bill timestamp: two bills on one day stay two rows although
     both show the same YYYYMMDD ``billdate``.  ``days`` may be fractional.  The three
-    "later" columns are typed NULLs.
+    "later" columns are typed NULLs.  ``sorted`` orders the output by the group keys
+    (ascending, NULLs last; the bill time sorts by its raw value).
     """
     ch = readings(hist, start_key, end_key)
     wcm = customers.select("customernumber", "cisnumberofbilledaccount", "premisenumber")
@@ -104,6 +106,8 @@ def total_usage(
     agg = derived.groupBy(*USAGE_GROUP_KEYS).agg(
         F.sum("consumption").alias("totalusage"), F.sum("billingamount").alias("totalcharges")
     )
+    if sorted:
+        agg = agg.orderBy(*[F.asc_nulls_last(k) for k in USAGE_GROUP_KEYS])
     raw = ["billdate_ts"] if keep_raw_billdate else []
     return agg.select(
         "accountnumber",

@@ -55,3 +55,9 @@ def test_window_filters_item_records(tables):
     t = tables(fcihistv=[_item(), _item(cihis_date=20210401)])
     out = items.billable_items(t.fcihistv, t.cibillableitem, 20210301, 20210331)
     assert rows(out, "cihis_date") == [(20210305,)]
+
+
+def test_sorted_output_nulls_last(tables):  # O2
+    t = tables(fcihistv=[_item(cihis_cust=2), _item(cihis_cust=None), _item(cihis_cust=1)])
+    out = items.billable_items(t.fcihistv, t.cibillableitem, sorted=True)
+    assert [r.cihis_cust for r in out.collect()] == [1, 2, None]

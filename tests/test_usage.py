@@ -77,3 +77,9 @@ def test_raw_billdate_kept_on_request(tables):  # A6
     t = tables(ciconsumptionhist=[reading(7, 0), reading(8, 10)])
     out = usage.total_usage(t.ciconsumptionhist, t.wawatercustomermaster, t.fciregister, keep_raw_billdate=True)
     assert rows(out, "billdate_ts") == [(dt.datetime(2021, 3, 5, 0),), (dt.datetime(2021, 3, 5, 10),)]
+
+
+def test_sorted_output_nulls_last(tables):  # O3
+    t = tables(ciconsumptionhist=[reading(accountnumber=3), reading(accountnumber=None), reading(accountnumber=1)])
+    out = usage.total_usage(t.ciconsumptionhist, t.wawatercustomermaster, t.fciregister, sorted=True)
+    assert [r.accountnumber for r in out.collect()] == [1, 3, None]
