@@ -109,14 +109,16 @@ def transactions(
     lines = bill_lines_in_window(t, start_key, end_key, strict, salt_rows).where(
         F.col("cihis_date").between(start_key, end_key)
     )
-    if with_rate_class:
-        rc = rate_class(
-            t.ciratemaster, t.ciratekind, t.ciratedetail, t.ciitemratedetail, t.ciitemcode, t.cisteprate
-        ).select(F.col("rate").alias("rc_rate"), "rsch", "utl_typ")
-        lines = skew_left_join(lines, rc, [("cihis_rate1", "rc_rate")], hot_rows=hot_rows)
     tiers = [f"{p}_{n}" for p in ("blkuse", "blkamt", "blkrate") for n in range(1, n_tiers + 1)]
     b4 = premise_block_use(t, start_key, end_key, n_tiers, hot_rows).select(
         "premiseid", "billdate", "numberofdays", "tot_use", "tot_amt", *tiers
     )
     j = skew_left_join(lines, b4, [("premisenumber", "premiseid"), ("cihis_date", "billdate")], hot_rows=hot_rows)
+    if with_rate_class:
+        # Both joins are left joins from the line on keys of the line only, so their order
+        # does not change the bag; the rate-class fan-out goes last, after every shuffle.
+        rc = rate_class(
+            t.ciratemaster, t.ciratekind, t.ciratedetail, t.ciitemratedetail, t.ciitemcode, t.cisteprate
+        ).select(F.col("rate").alias("rc_rate"), "rsch", "utl_typ")
+        j = skew_left_join(j, rc, [("cihis_rate1", "rc_rate")], hot_rows=hot_rows)
     return _layout(j, n_tiers, with_rate_class)
