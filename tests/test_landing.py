@@ -1,0 +1,68 @@
+"""Landing and join helpers: conform, block landing by month, bounded broadcast, hot keys."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+from pyspark.errors import PySparkException
+
+from aqualedger.operators import items
+from aqualedger.operators.joins import broadcast_if_bounded, hot_keys
+from aqualedger.sources.landing import conform
+from aqualedger.sources.sinks import land_blocks_by_month
+
+
+def test_conform_casts_trims_and_nulls_blanks(spark):
+    raw = spark.createDataFrame(
+        [("7", "A1   ", "1", "1", "3", "extra")],
+        "ciregister_device_cd string, ciregister_device string, ciregister_num string, ciregister_cmp_size string, "
+        "other string, more string",
+    )
+    out = conform(raw, "fciregister", rtrim_char=["ciregister_device"])
+    assert out.columns == ["ciregister_device", "ciregister_device_cd", "ciregister_num", "ciregister_cmp_size"]
+    r = out.first()
+    assert (r.ciregister_device, r.ciregister_device_cd) == ("A1", 7)
+    blank = spark.createDataFrame([("",)], "description string").selectExpr("1 AS ratekindid", "description")
+    assert conform(blank, "ciratekind").first().description is None
+
+
+def test_conform_keeps_month_partition_column(spark):
+    df = spark.createDataFrame([(1, 20210305, 99, 5, 202103)], "cihis_cust long, cihis_date int, cihis_code int, "
+                               "cihis_reference long, bill_month int")
+    assert conform(df, "fcihistf").columns[-1] == "bill_month"
+
+
+def test_land_blocks_refuses_key_in_two_months(tables, tmp_path):
+    hdr = lambda m: dict(consumptionhistid=1, readsequence=1, transactioncode=102, billdate=dt.datetime(2021, m, 5))
+    t = tables(
+        ciconsumptionhist=[hdr(3), hdr(4)],
+        ciconsumptionhistblock=[dict(consumptionhistid=1, readsequence=1, blocknumber=1, blockusage=D(1))],
+    )
+    with pytest.raises(ValueError, match="more than one month"):
+        land_blocks_by_month(t.ciconsumptionhistblock, t.ciconsumptionhist, str(tmp_path / "b"))
+
+
+def test_strict_dates_fail_the_item_aggregate(tables):  # Q12
+    t = tables(
+        fcihistv=[dict(cihis_cust=1, cihis_date=20210305, cihis_from_date=0, cihis_to_date=3312021,
+                       cihis_amt=D(5), cihis_type_code=34, cihis_class_type1=4)]
+    )
+    with pytest.raises(PySparkException):
+        items.billable_items(t.fcihistv, t.cibillableitem).collect()
+    (r,) = items.billable_items(t.fcihistv, t.cibillableitem, strict=False).collect()
+    assert (r.days, r.fromdate, r.totalcharges) == (None, 0, D(5))
+
+
+def test_broadcast_only_when_bounded(spark):
+    small, big = spark.range(5), spark.range(50)
+    assert "broadcast" in broadcast_if_bounded(small, 10)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in broadcast_if_bounded(big, 10)._jdf.queryExecution().logical().toString().lower()
+
+
+def test_hot_keys_bounded_and_salted(spark):
+    df = spark.createDataFrame([(k,) for k in [1] * 30 + [2] * 12 + [3] * 3 + [None] * 50], "k long")
+    got = sorted(tuple(r) for r in hot_keys(df, ["k"], hot_rows=10, max_hot_keys=5, max_salts=2).collect())
+    assert got == [(1, 2), (2, 2)]
+    assert hot_keys(df, ["k"], hot_rows=10, max_hot_keys=1, max_salts=8).collect()[0][0] == 1
