@@ -76,27 +76,20 @@ def skew_left_join(
     hot = F.broadcast(hot_keys(right, rkeys, hot_rows, max_hot_keys, max_salts))
     hk = [f"_hk{i}" for i in range(len(on))]
 
-    lt = (
-        left.join(hot, _eq(list(zip(lkeys, hk))), "left")
-        .drop(*hk)
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-        .withColumnRenamed("_salts", "_hot")
+    salts = F.col("_salts")
+    lt = left.join(hot, _eq(list(zip(lkeys, hk))), "left").select(
+        *left.columns,
+        salts.alias("_hot"),
+        F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1)).alias("_salt"),
     )
-    rt = (
-        right.join(hot, _eq(list(zip(rkeys, hk))), "left")
-        .drop(*hk)
-        .withColumn(
-            "_salt_r",
-            F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
-                F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.col("_salts").cast("long")).cast("int")
-            ),
-        )
-        .withColumn("_matched", F.lit(True))
-        .drop("_salts")
+    row_hash = F.xxhash64(*[F.col(c) for c in right.columns])
+    rt = right.join(hot, _eq(list(zip(rkeys, hk))), "left").select(
+        *right.columns,
+        F.when(salts.isNull(), F.lit(0)).otherwise(F.pmod(row_hash, salts.cast("long")).cast("int")).alias("_salt_r"),
+        F.lit(True).alias("_matched"),
     )
     joined = lt.join(rt, cond & (F.col("_salt") == F.col("_salt_r")), "left")
-    kept = joined.where(F.col("_hot").isNull() | F.col("_matched").isNotNull())
-    return kept.select(*left.columns, *right.columns)
+    return joined.where(F.col("_hot").isNull() | F.col("_matched").isNotNull()).select(*left.columns, *right.columns)
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
