@@ -28,7 +28,9 @@ def _eq(on: Sequence[tuple[str, str]]) -> Column:
 def hot_keys(right: DataFrame, keys: Sequence[str], hot_rows: int, max_hot_keys: int, max_salts: int) -> DataFrame:
     """Up to ``max_hot_keys`` right keys with at least ``hot_rows`` rows, each with a
     salt bucket count.  The count is partially aggregated before its shuffle, so a hot
-    key never lands whole in one task; the top-k bounds the result's size."""
+    key never lands whole in one task; the top-k bounds the result's size.  The order is
+    total (count, then keys), so every evaluation picks the same keys: both join sides
+    are tagged from this list and must agree on it."""
     not_null = None
     for k in keys:
         term = F.col(k).isNotNull()
@@ -36,7 +38,7 @@ def hot_keys(right: DataFrame, keys: Sequence[str], hot_rows: int, max_hot_keys:
     counts = right.where(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return (
         counts.where(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"))
+        .orderBy(F.desc("_n"), *[F.asc(k) for k in keys])
         .limit(max_hot_keys)
         .select(
             *[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],

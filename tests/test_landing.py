@@ -66,3 +66,10 @@ def test_hot_keys_bounded_and_salted(spark):
     got = sorted(tuple(r) for r in hot_keys(df, ["k"], hot_rows=10, max_hot_keys=5, max_salts=2).collect())
     assert got == [(1, 2), (2, 2)]
     assert hot_keys(df, ["k"], hot_rows=10, max_hot_keys=1, max_salts=8).collect()[0][0] == 1
+
+
+def test_hot_key_cutoff_is_deterministic(spark):
+    """Ties at the top-k cut-off resolve by key, so both join sides see the same list."""
+    df = spark.createDataFrame([(k,) for k in (5, 3, 9, 1) for _ in range(4)], "k long").repartition(4)
+    picks = {tuple(r[0] for r in hot_keys(df, ["k"], hot_rows=2, max_hot_keys=2, max_salts=2).collect()) for _ in range(3)}
+    assert picks == {(1, 3)}
