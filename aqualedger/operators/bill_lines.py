@@ -84,3 +84,14 @@ def bill_metered_branch(headers: DataFrame, usage: DataFrame) -> DataFrame:
 def bill_lines(items_branch: DataFrame, metered_branch: DataFrame) -> DataFrame:
     """UNION (distinct) of both branches: duplicates within a branch collapse too."""
     return items_branch.unionByName(metered_branch).distinct()
+
+
+def collapsed_lines(items_branch: DataFrame, metered_branch: DataFrame) -> DataFrame:
+    """Diagnostic for the UNION's de-duplication: one row with the line count before and
+    after it and the difference.  Equal lines are counted per group first (partial
+    aggregation), so no line set is brought to one task or the driver."""
+    per_line = items_branch.unionByName(metered_branch).groupBy(*LINE_COLUMNS).count()
+    return per_line.agg(
+        F.sum("count").alias("lines_before"),
+        F.count(F.lit(1)).alias("lines_after"),
+    ).withColumn("collapsed", F.col("lines_before") - F.col("lines_after"))

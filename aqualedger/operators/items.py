@@ -133,3 +133,16 @@ def billable_items(
     )
     out = derived.groupBy(*ITEM_GROUP_KEYS).agg(F.sum("cihis_amt").alias("totalcharges"))
     return out.orderBy(*[F.asc_nulls_last(k) for k in ITEM_GROUP_KEYS]) if sorted else out
+
+
+def repeated_billing_periods(histv: DataFrame) -> DataFrame:
+    """Diagnostic for double-counted item charges: total billing records (type 95) that
+    occur more than once with the same customer, bill date and period.  Each extra copy
+    multiplies the matching item rows inside ``billable_items``' sum."""
+    keys = ["cihis_cust", "cihis_date", "cihis_from_date", "cihis_to_date"]
+    return (
+        histv.where(F.col("cihis_type_code") == TYPE_TOTAL_BILLING)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .where(F.col("copies") > 1)
+    )

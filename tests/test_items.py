@@ -61,3 +61,8 @@ def test_sorted_output_nulls_last(tables):  # O2
     t = tables(fcihistv=[_item(cihis_cust=2), _item(cihis_cust=None), _item(cihis_cust=1)])
     out = items.billable_items(t.fcihistv, t.cibillableitem, sorted=True)
     assert [r.cihis_cust for r in out.collect()] == [1, 2, None]
+
+
+def test_repeated_billing_periods_diagnostic(tables):  # Q8
+    t = tables(fcihistv=[_item(), _period(3012021, 3312021), _period(3012021, 3312021), _period(2012021, 2282021)])
+    assert rows(items.repeated_billing_periods(t.fcihistv), "cihis_from_date", "copies") == [(3012021, 2)]

@@ -169,3 +169,15 @@ def test_line_schema(tables):
     t = tables(fcihistv=[flat()], fcihistf=[bill()], wawatercustomermaster=CUSTOMERS)
     got = [(f.name, f.dataType) for f in lines(t).schema.fields]
     assert got == [(f.name, f.dataType) for f in bl.LINE_SCHEMA.fields]
+
+
+def test_collapsed_lines_diagnostic(tables):  # Q1
+    t = tables(
+        ciconsumptionhist=[metered(charge=7, hour=0), metered(charge=7, hour=10), metered(charge=8, device="M2")],
+        fcihistf=[bill()], wawatercustomermaster=CUSTOMERS,
+    )
+    heads = bl.bill_headers(t.fcihistf, t.wawatercustomermaster)
+    tu = usage.total_usage(t.ciconsumptionhist, t.wawatercustomermaster, t.fciregister)
+    r = bl.collapsed_lines(bl.bill_items_branch(heads, items.billable_items(t.fcihistv, t.cibillableitem)),
+                           bl.bill_metered_branch(heads, tu)).first()
+    assert (r.lines_before, r.lines_after, r.collapsed) == (3, 2, 1)
