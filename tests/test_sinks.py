@@ -20,3 +20,24 @@ def test_cut_lineage_uses_checkpoint_dir(spark):
     assert spark.sparkContext.getCheckpointDir()
     df = cut_lineage(spark.range(10))
     assert df.count() == 10
+
+
+def test_batch_entry_point(spark, tables, tmp_path):
+    import datetime as dt
+    from decimal import Decimal as D
+
+    from aqualedger.__main__ import main
+    from aqualedger.sources.schemas import SCHEMAS
+
+    t = tables(
+        fcihistv=[dict(cihis_cust=1, cihis_date=20210305, cihis_type_code=34, cihis_class_type1=4, cihis_amt=D(2),
+                       cihis_from_date=3012021, cihis_to_date=3312021)],
+        fcihistf=[dict(cihis_cust=1, cihis_date=20210305, cihis_code=99, cihis_reference=1)],
+        ciconsumptionhist=[dict(accountnumber=1, transactioncode=102, consumptionhistid=1, readsequence=1,
+                                billdate=dt.datetime(2021, 3, 5))],
+    )
+    for name in SCHEMAS:
+        getattr(t, name).write.parquet(str(tmp_path / "in" / name))
+    main(["--tables", str(tmp_path / "in"), "--start", "20210301", "--end", "20210331", "--out", str(tmp_path / "out")])
+    (r,) = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert (r.act, r.bld, r.bill_month, r.dys) == (1, 20210305, 202103, 30.0)
