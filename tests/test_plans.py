@@ -7,21 +7,14 @@ import datetime as dt
 from decimal import Decimal as D
 
 from aqualedger.operators import transactions
+from aqualedger.plans import checks
 from aqualedger.sources.landing import read_tables
 from aqualedger.sources.schemas import SCHEMAS
 
 
-def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def _scans(df) -> list[str]:
-    """Scan sections of ``explain("formatted")``, each with its PushedFilters and ReadSchema."""
-    jvm = df.sparkSession._jvm
-    mode = jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    text = df._jdf.queryExecution().explainString(mode)
-    sections = text.split("\n\n")
-    return [sec for sec in sections if "Scan parquet" in sec.split("\n")[0]]
+    """Scan entries as text, for substring checks."""
+    return [" | ".join(v for v in s.values()) for s in checks.scans(df)]
 
 
 def test_month_pushed_to_history_scans(spark, tables, tmp_path):
@@ -46,9 +39,17 @@ def test_no_python_udf_no_cartesian(spark):
     from aqualedger.plans import catalog
 
     for key in ("transactions", "transactions_with_rate_class", "rate_class"):
-        plan = _plan(catalog.queries()[key](spark, "/root/testdata/sf0.001"))
-        for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
-            assert bad not in plan, (key, bad)
+        df = catalog.queries()[key](spark, "/root/testdata/sf0.001")
+        assert checks.violations(df) == [], key
+
+
+def test_scans_prune_columns(spark):
+    from aqualedger.plans import catalog
+
+    df = catalog.queries()["block_header"](spark, "/root/testdata/sf0.001")
+    (orders,) = [s for s in checks.scans(df) if "orders" in s["location"]]
+    assert "o_totalprice" not in orders["read_schema"] and "o_orderdate" in orders["read_schema"]
+    assert checks.exchange_count(df) >= 0
 
 
 def test_month_partitions_pruned(spark, tables, tmp_path):
@@ -90,9 +91,9 @@ def test_month_partitions_pruned(spark, tables, tmp_path):
     landed = read_tables(spark, str(tmp_path))
     out = transactions.transactions(landed, 20210301, 20210331)
     scans = _scans(out)
-    month_scans = [s for s in scans if "PartitionFilters: [" in s and "bill_month" in s]
+    month_scans = [s for s in checks.scans(out) if "bill_month" in s["partition_filters"]]
     assert len(month_scans) >= 4, scans
-    assert all("202103" in s for s in month_scans)
+    assert all("202103" in s["partition_filters"] for s in month_scans)
     got = sorted(tuple(r) for r in out.drop("dys").collect())
     want = sorted(tuple(r) for r in transactions.transactions(t, 20210301, 20210331).drop("dys").collect())
     assert got == want and len(got) == 1 and got[0][-16] == D(1)
