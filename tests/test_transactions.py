@@ -181,3 +181,21 @@ def test_collapsed_lines_diagnostic(tables):  # Q1
     r = bl.collapsed_lines(bl.bill_items_branch(heads, items.billable_items(t.fcihistv, t.cibillableitem)),
                            bl.bill_metered_branch(heads, tu)).first()
     assert (r.lines_before, r.lines_after, r.collapsed) == (3, 2, 1)
+
+
+def test_invariants_on_standins(spark):
+    """SURVEY §5 invariants: lines are distinct, every bill date is in the window, and the
+    tier totals equal the sum of tiers 1..5 whenever a header matched."""
+    from pyspark.sql import functions as F
+
+    from aqualedger.sources.standins import standin_tables
+
+    t = standin_tables(spark, "/root/testdata/sf0.001")
+    ln = lines(t, 19950701, 19950731)
+    assert ln.count() == ln.distinct().count() > 0
+    out = transactions.transactions(t, 19950701, 19950731)
+    assert out.where(~F.col("bld").between(19950701, 19950731) | F.col("bld").isNull()).count() == 0
+    tiers = sum(F.coalesce(F.col(f"t{n}_use"), F.lit(0)) for n in range(1, 6))
+    matched = out.where(F.col("billdate").isNotNull())
+    assert matched.count() > 0
+    assert matched.where(F.col("tot_use") != tiers).count() == 0
