@@ -27,3 +27,17 @@ def test_query_matches_oracle(spark, key):
     assert res["names_match"], res
     assert res["spark_rows"] == res["oracle_rows"], res
     assert res["values_match"], res
+
+
+def test_column_types_match_oracle(spark):
+    """Same column types in both engines (Spark type -> DuckDB type), for every key."""
+    from oracle_check import duck
+
+    names = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE", "StringType()": "VARCHAR",
+             "TimestampNTZType()": "TIMESTAMP"}
+    con = duck(SF)
+    qs, sqls = entry.queries(), entry.oracle_sql()
+    for key in qs:
+        spark_types = {f.name.lower(): names.get(str(f.dataType), str(f.dataType)) for f in qs[key](spark, SF).schema.fields}
+        duck_types = {r[0].lower(): r[1] for r in con.execute(f"DESCRIBE ({sqls[key]})").fetchall()}
+        assert spark_types == duck_types, key
