@@ -8,9 +8,10 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings this library's plans rely on.  AQE re-plans joins from runtime sizes
-# (broadcast only what is measured small, coalesce small partitions, split skewed ones);
-# the runtime bloom filter prunes the block history scan to the month's headers before
-# its shuffle once that scan is large.
+# (broadcast only what is measured small, coalesce small partitions, split skewed ones).
+# The runtime bloom filter can prune the block scan to the month's headers before its
+# shuffle when Spark's size estimates allow it; month-partitioned landing
+# (sinks.land_blocks_by_month) turns that into a partition filter in every case.
 PLAN_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
