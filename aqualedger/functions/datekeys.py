@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _MAX_MDY = 99999999  # eight digits: the widest value the zero-padded format can hold
@@ -43,7 +43,7 @@ def key_in_range(ts: Column | str, start_key: int, end_key: int) -> Column:
     return F.to_date(_c(ts)).between(F.lit(key_to_date(start_key)), F.lit(key_to_date(end_key)))
 
 
-def in_months(df, start_key: int, end_key: int, month_col: str = "bill_month"):
+def in_months(df: DataFrame, start_key: int, end_key: int, month_col: str = "bill_month") -> DataFrame:
     """Add a partition filter on ``month_col`` (YYYYMM) covering the window when the
     table is month-partitioned; otherwise return ``df`` unchanged.  Spark cannot derive
     this filter from a bill-date predicate by itself."""
