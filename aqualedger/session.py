@@ -28,6 +28,9 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
+        # PySpark records the Python call site of every DataFrame/Column call for error
+        # messages, several JVM round trips each; plans here are built from many calls.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in PLAN_SETTINGS.items():
         builder = builder.config(k, v)
