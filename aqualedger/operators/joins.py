@@ -79,19 +79,27 @@ def skew_left_join(
     hk = [f"_hk{i}" for i in range(len(on))]
 
     salts = F.col("_salts")
-    lt = left.join(hot, _eq(list(zip(lkeys, hk))), "left").select(
-        *left.columns,
-        salts.alias("_hot"),
-        F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1)).alias("_salt"),
+    lt = (
+        left.join(hot, _eq(list(zip(lkeys, hk))), "left")
+        .withColumns({"_hot": salts, "_salt": F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1))})
+        .drop(*hk, "_salts")
     )
-    row_hash = F.xxhash64(*[F.col(c) for c in right.columns])
-    rt = right.join(hot, _eq(list(zip(rkeys, hk))), "left").select(
-        *right.columns,
-        F.when(salts.isNull(), F.lit(0)).otherwise(F.pmod(row_hash, salts.cast("long")).cast("int")).alias("_salt_r"),
-        F.lit(True).alias("_matched"),
+    rt = (
+        right.withColumn("_row_hash", F.expr("xxhash64(*)"))
+        .join(hot, _eq(list(zip(rkeys, hk))), "left")
+        .withColumns(
+            {
+                "_salt_r": F.when(salts.isNull(), F.lit(0)).otherwise(
+                    F.pmod(F.col("_row_hash"), salts.cast("long")).cast("int")
+                ),
+                "_matched": F.lit(True),
+            }
+        )
+        .drop(*hk, "_salts", "_row_hash")
     )
     joined = lt.join(rt, cond & (F.col("_salt") == F.col("_salt_r")), "left")
-    return joined.where(F.col("_hot").isNull() | F.col("_matched").isNotNull()).select(*left.columns, *right.columns)
+    kept = joined.where(F.col("_hot").isNull() | F.col("_matched").isNotNull())
+    return kept.drop("_hot", "_salt", "_salt_r", "_matched")
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
