@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from .operators.transactions import transactions
+from .plans import checks
 from .session import ensure_checkpoint_dir
 from .sources.landing import read_tables
 from .sources.sinks import write_months
@@ -33,6 +34,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--format", default="parquet", help="format of the landed tables")
     ap.add_argument("--with-rate-class", action="store_true", help="add rate schedule and utility type")
     ap.add_argument("--lenient-dates", action="store_true", help="invalid MMDDYYYY dates give NULL instead of failing")
+    ap.add_argument("--explain", action="store_true", help="print the plan checks instead of running the job")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("aqualedger").getOrCreate()
@@ -41,6 +43,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     month = transactions(
         tables, args.start, args.end, strict=not args.lenient_dates, with_rate_class=args.with_rate_class
     )
+    if args.explain:
+        for scan in checks.scans(month):
+            print(f"{scan['location']}\n  pushed: {scan['pushed_filters']}\n  partitions: {scan['partition_filters']}")
+        print(f"exchanges: {checks.exchange_count(month)}; forbidden operators: {checks.violations(month) or 'none'}")
+        return
     write_months(month, args.out)
 
 

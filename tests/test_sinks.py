@@ -41,3 +41,17 @@ def test_batch_entry_point(spark, tables, tmp_path):
     main(["--tables", str(tmp_path / "in"), "--start", "20210301", "--end", "20210331", "--out", str(tmp_path / "out")])
     (r,) = spark.read.parquet(str(tmp_path / "out")).collect()
     assert (r.act, r.bld, r.bill_month, r.dys) == (1, 20210305, 202103, 30.0)
+
+
+def test_entry_point_explain(spark, tables, tmp_path, capsys):
+    from aqualedger.__main__ import main
+    from aqualedger.sources.schemas import SCHEMAS
+
+    t = tables()
+    for name in SCHEMAS:
+        getattr(t, name).write.parquet(str(tmp_path / "in" / name))
+    main(["--tables", str(tmp_path / "in"), "--start", "20210301", "--end", "20210331", "--out", str(tmp_path / "o"),
+          "--explain"])
+    out = capsys.readouterr().out
+    assert "GreaterThanOrEqual(cihis_date,20210301)" in out and "forbidden operators: none" in out
+    assert not (tmp_path / "o").exists()
