@@ -40,8 +40,8 @@ def conform(
             if blank_to_null:
                 c = F.nullif(c, F.lit(""))
         cols.append(c.alias(field.name))
-    if MONTH_COL in df.columns:
-        cols.append(F.col(MONTH_COL))
+    if any(c.lower() == MONTH_COL for c in df.columns):
+        cols.append(F.col(MONTH_COL).alias(MONTH_COL))
     return df.select(*cols)
 
 

@@ -73,3 +73,10 @@ def test_hot_key_cutoff_is_deterministic(spark):
     df = spark.createDataFrame([(k,) for k in (5, 3, 9, 1) for _ in range(4)], "k long").repartition(4)
     picks = {tuple(r[0] for r in hot_keys(df, ["k"], hot_rows=2, max_hot_keys=2, max_salts=2).collect()) for _ in range(3)}
     assert picks == {(1, 3)}
+
+
+def test_conform_upper_case_source_names(spark):
+    """Names landed from the source database are upper case; conform lower-cases them."""
+    df = spark.createDataFrame([(1, 20210305, 99, 5, 202103)], "CIHIS_CUST long, CIHIS_DATE int, CIHIS_CODE int, "
+                               "CIHIS_REFERENCE long, BILL_MONTH int")
+    assert conform(df, "fcihistf").columns == ["cihis_cust", "cihis_date", "cihis_code", "cihis_reference", "bill_month"]
