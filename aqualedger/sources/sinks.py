@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import fields
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .landing import BillingTables
+
 
-def write_months(df: DataFrame, path: str, date_key_col: str = "bld", partition_col: str = "bill_month") -> None:
-    """Write ``df`` partitioned by bill month (YYYYMM from a YYYYMMDD key).
+def write_months(
+    df: DataFrame,
+    path: str,
+    date_key_col: str = "bld",
+    partition_col: str = "bill_month",
+    month: Column | None = None,
+) -> None:
+    """Write ``df`` partitioned by bill month: YYYYMM from the YYYYMMDD key
+    ``date_key_col``, or the given ``month`` expression.
 
     Dynamic partition overwrite replaces only the months present in ``df``, so re-running
     a month (for instance after a failed job) is idempotent and leaves other months alone.
     """
+    month = month if month is not None else F.floor(F.col(date_key_col) / 100).cast("int")
     (
-        df.withColumn(partition_col, F.floor(F.col(date_key_col) / 100).cast("int"))
+        df.withColumn(partition_col, month)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
@@ -57,3 +69,22 @@ def land_blocks_by_month(blocks: DataFrame, hist: DataFrame, path: str, partitio
         .partitionBy(partition_col)
         .parquet(path)
     )
+
+
+def land_tables(t: BillingTables, path: str) -> None:
+    """Write all fourteen conformed tables under ``path/<table>``: the three history tables
+    partitioned by bill month (re-runnable per month), blocks under their header's month,
+    the reference tables whole.  ``read_tables(spark, path)`` reads them back with the
+    month as a partition column, so a window prunes every history scan."""
+    from ..functions.datekeys import date_key
+
+    root = path.rstrip("/")
+    bill_key = {"fcihistv": F.col("cihis_date"), "fcihistf": F.col("cihis_date"), "ciconsumptionhist": date_key("billdate")}
+    for f in fields(t):
+        name, df = f.name, getattr(t, f.name)
+        if name in bill_key:
+            write_months(df, f"{root}/{name}", month=F.floor(bill_key[name] / 100).cast("int"))
+        elif name == "ciconsumptionhistblock":
+            land_blocks_by_month(df, t.ciconsumptionhist, f"{root}/{name}")
+        else:
+            df.write.mode("overwrite").parquet(f"{root}/{name}")

@@ -57,7 +57,7 @@ def test_month_partitions_pruned(spark, tables, tmp_path):
     blocks included, and the result equals the unpartitioned run."""
     import datetime as dt
 
-    from aqualedger.sources.sinks import land_blocks_by_month, write_months
+    from aqualedger.sources.sinks import land_tables
 
     def hdr(hist, day, month=3):
         return dict(accountnumber=1, consumptionhistid=hist, readsequence=1, transactioncode=102,
@@ -74,20 +74,7 @@ def test_month_partitions_pruned(spark, tables, tmp_path):
         fwacmas=[dict(wacm_cust=1, wacm_premise_no=5)],
         wawatercustomermaster=[dict(customernumber=1, cisnumberofbilledaccount=2, premisenumber=5)],
     )
-    history = {"fcihistv": "cihis_date", "fcihistf": "cihis_date"}
-    for name in SCHEMAS:
-        df = getattr(t, name)
-        if name in history:
-            write_months(df, str(tmp_path / name), date_key_col=history[name])
-        elif name == "ciconsumptionhist":
-            from pyspark.sql import functions as F
-
-            df.withColumn("bill_month", F.floor((F.year("billdate") * 100 + F.month("billdate")))).write.partitionBy(
-                "bill_month").parquet(str(tmp_path / name))
-        elif name == "ciconsumptionhistblock":
-            land_blocks_by_month(df, t.ciconsumptionhist, str(tmp_path / name))
-        else:
-            df.write.parquet(str(tmp_path / name))
+    land_tables(t, str(tmp_path))
     landed = read_tables(spark, str(tmp_path))
     out = transactions.transactions(landed, 20210301, 20210331)
     scans = _scans(out)
