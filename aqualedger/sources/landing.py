@@ -73,15 +73,22 @@ def read_tables(
     spark: SparkSession,
     base_path: str,
     fmt: str = "parquet",
+    known_schema: bool = False,
     **conform_opts,
 ) -> BillingTables:
     """Read ``<base_path>/<table>`` for every source table in ``fmt`` and conform it.
 
-    History tables landed partitioned by bill month get partition pruning for free once
-    the month filter reaches the scan.
+    History tables landed partitioned by bill month get partition pruning once the month
+    filter reaches the scan.  ``known_schema=True`` reads with the conformed schemas
+    instead of inferring them from file footers; use it for tables written by
+    ``sinks.land_tables`` (other files may store other types, which ``conform`` casts).
     """
-    reader = spark.read.format(fmt)
-    frames = {name: reader.load(f"{base_path.rstrip('/')}/{name}") for name in SCHEMAS}
+    frames = {}
+    for name, schema in SCHEMAS.items():
+        reader = spark.read.format(fmt)
+        if known_schema:
+            reader = reader.schema(schema)
+        frames[name] = reader.load(f"{base_path.rstrip('/')}/{name}")
     return BillingTables.from_mapping(frames, **conform_opts)
 
 

@@ -59,7 +59,7 @@ def main() -> None:
             landed = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
             land_tables(standin_tables(spark, sf_dir), landed)
             t0 = time.perf_counter()
-            month = transactions(read_tables(spark, landed), *catalog.WINDOW)
+            month = transactions(read_tables(spark, landed, known_schema=True), *catalog.WINDOW)
             month.write.format("noop").mode("overwrite").save()
             extra["transactions_landed"] = round(time.perf_counter() - t0, 3)
         except Exception as exc:  # informative only; never lose the main result

@@ -75,7 +75,7 @@ def test_month_partitions_pruned(spark, tables, tmp_path):
         wawatercustomermaster=[dict(customernumber=1, cisnumberofbilledaccount=2, premisenumber=5)],
     )
     land_tables(t, str(tmp_path))
-    landed = read_tables(spark, str(tmp_path))
+    landed = read_tables(spark, str(tmp_path), known_schema=True)
     out = transactions.transactions(landed, 20210301, 20210331)
     scans = _scans(out)
     month_scans = [s for s in checks.scans(out) if "bill_month" in s["partition_filters"]]
