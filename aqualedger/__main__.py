@@ -35,11 +35,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--with-rate-class", action="store_true", help="add rate schedule and utility type")
     ap.add_argument("--lenient-dates", action="store_true", help="invalid MMDDYYYY dates give NULL instead of failing")
     ap.add_argument("--explain", action="store_true", help="print the plan checks instead of running the job")
+    ap.add_argument("--known-schema", action="store_true", help="tables were written by sinks.land_tables: skip schema inference")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("aqualedger").getOrCreate()
     ensure_checkpoint_dir(spark)
-    tables = read_tables(spark, args.tables, args.format)
+    tables = read_tables(spark, args.tables, args.format, known_schema=args.known_schema)
     month = transactions(
         tables, args.start, args.end, strict=not args.lenient_dates, with_rate_class=args.with_rate_class
     )
