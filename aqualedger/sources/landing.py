@@ -11,8 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .schemas import SCHEMAS
@@ -31,18 +30,18 @@ def conform(
     """Select, cast and clean the columns ``table`` needs, in schema order.  A
     ``bill_month`` partition column is kept, so month filters can prune partitions."""
     rtrim = {c.lower() for c in rtrim_char}
-    cols: list[Column] = []
+    exprs: list[str] = []
     for field in SCHEMAS[table].fields:
-        c = F.col(field.name).cast(field.dataType)
+        c = f"CAST(`{field.name}` AS {field.dataType.simpleString()})"
         if isinstance(field.dataType, T.StringType):
             if field.name.lower() in rtrim:
-                c = F.rtrim(c)
+                c = f"rtrim({c})"
             if blank_to_null:
-                c = F.nullif(c, F.lit(""))
-        cols.append(c.alias(field.name))
+                c = f"nullif({c}, '')"
+        exprs.append(f"{c} AS `{field.name}`")
     if any(c.lower() == MONTH_COL for c in df.columns):
-        cols.append(F.col(MONTH_COL).alias(MONTH_COL))
-    return df.select(*cols)
+        exprs.append(f"`{MONTH_COL}` AS `{MONTH_COL}`")
+    return df.selectExpr(*exprs)
 
 
 @dataclass(frozen=True)
