@@ -9,5 +9,6 @@ built-ins.
 
 from .operators.transactions import transactions
 from .sources.landing import BillingTables, conform, read_tables
+from .sources.sinks import land_tables, write_months
 
-__all__ = ["BillingTables", "conform", "read_tables", "transactions"]
+__all__ = ["BillingTables", "conform", "land_tables", "read_tables", "transactions", "write_months"]
