@@ -31,9 +31,8 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return round(v, 6)
+        # exact: decimal sums are cast to double once, at the end, in both engines
+        return None if math.isnan(v) else v
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     if hasattr(v, "item"):
