@@ -109,6 +109,8 @@ def read_jdbc_table(
     ``table`` is the schema-qualified source name; the conformed schema is looked up by
     its unqualified, lower-cased name.
     """
+    if partition_column is not None and None in (lower_bound, upper_bound, num_partitions):
+        raise ValueError("partition_column needs lower_bound, upper_bound and num_partitions")
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)

@@ -80,3 +80,10 @@ def test_conform_upper_case_source_names(spark):
     df = spark.createDataFrame([(1, 20210305, 99, 5, 202103)], "CIHIS_CUST long, CIHIS_DATE int, CIHIS_CODE int, "
                                "CIHIS_REFERENCE long, BILL_MONTH int")
     assert conform(df, "fcihistf").columns == ["cihis_cust", "cihis_date", "cihis_code", "cihis_reference", "bill_month"]
+
+
+def test_jdbc_partitioning_needs_bounds(spark):
+    from aqualedger.sources.landing import read_jdbc_table
+
+    with pytest.raises(ValueError, match="lower_bound"):
+        read_jdbc_table(spark, "jdbc:none", "s.fcihistf", partition_column="cihis_cust", num_partitions=8)
