@@ -72,6 +72,8 @@ def skew_left_join(
     cond = _eq(on)
     if hot_rows is None:
         return left.join(right, cond, "left")
+    if hot_rows < 1 or max_hot_keys < 1 or max_salts < 1:
+        raise ValueError("hot_rows, max_hot_keys and max_salts must be at least 1")
 
     lkeys = [a for a, _ in on]
     rkeys = [b for _, b in on]

@@ -87,3 +87,12 @@ def test_jdbc_partitioning_needs_bounds(spark):
 
     with pytest.raises(ValueError, match="lower_bound"):
         read_jdbc_table(spark, "jdbc:none", "s.fcihistf", partition_column="cihis_cust", num_partitions=8)
+
+
+def test_skew_join_rejects_bad_thresholds(spark):
+    from aqualedger.operators.joins import skew_left_join
+
+    left, right = spark.range(3).withColumnRenamed("id", "a"), spark.range(3).withColumnRenamed("id", "b")
+    with pytest.raises(ValueError, match="hot_rows"):
+        skew_left_join(left, right, [("a", "b")], hot_rows=0)
+    assert skew_left_join(left, right, [("a", "b")], hot_rows=1).count() == 3
