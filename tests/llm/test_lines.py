@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pandas as pd
+
+from aqualedger.llm import lines
+
+BLANKS = " \t\n\x0b\x0c\r"
+COMMON = "A line that a great many documents share"
+
+
+def brute(docs, least=10):
+    keys, out = {}, []
+    for i, t in docs:
+        for line in (t or "").split("\n"):
+            k = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(BLANKS))
+            if len(k) >= least:
+                keys.setdefault(k, set()).add(2**63 - 1 if i is None else i)
+    for i, t in docs:
+        own = (t or "").split("\n")
+        kept = []
+        for line in own:
+            k = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(BLANKS))
+            if len(k) < least or (2**63 - 1 if i is None else i) == min(keys[k]):
+                kept.append(line)
+        out.append((i, "\n".join(kept), len(own), len(own) - len(kept)))
+    return sorted(out, key=str)
+
+
+DOCS = [
+    (5, f"{COMMON}\nfirst of five\n\n short "), (3, f"  {COMMON.upper()}\t\nonly here, three"), (3, f"  {COMMON.upper()}\t\nonly here, three"),
+    (3, f"same id, another text\n{COMMON}"), (None, f"{COMMON}\nno id at all"), (None, "no id at all\nno id at all"),
+    (8, None), (9, ""), (10, "\n\n"), (11, "äöüäöüäöü"), (12, "äöüäöüäöü"), (13, "äöüäöüäöüx"), (14, "äöüäöüäöüx\näöüäöüäöüX\näöüäöüäöüX"),
+    (15, "repeated within\nrepeated within"), (16, "\x0brepeated WITHIN \r\nother things"), (17, "x" * 300_000), (18, "y\n" + "x" * 300_000),
+] + [(100 + i, f"{COMMON}\nnumber {i} of many") for i in range(60)]
+
+
+def test_line_dedup_matches_brute_force(spark):
+    df = spark.createDataFrame([(i, t, 7, "c") for i, t in DOCS], "doc_id long, text string, n_lines int, keep string").repartition(5)
+    got = lines.line_dedup(df)
+    assert got.columns == ["doc_id", "text", "n_lines", "keep", "_n_lines", "n_dropped"]
+    assert sorted(((r.doc_id, r.text or "", r._n_lines, r.n_dropped) for r in got.collect()), key=str) == brute(DOCS)
+
+
+def test_empty_table(spark):
+    assert lines.line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_runs_over_batches_and_partitions():
+    rows = [(h, h, i, 0, p) for h, i, p in [(1, 4, 0), (1, 4, 1), (1, 6, 0), (2, 1, 0), (3, 2, 0), (3, 2, 5), (3, 9, 1), (3, 9, 2)]]
+    frame = pd.DataFrame(rows, columns=["h1", "h2", "id", "tag", "pos"])
+    for cuts in ([8], [1, 7], [3, 5], [2, 2, 2, 2], [1] * 8):
+        at, parts = 0, []
+        for n in cuts:
+            parts.append(frame.iloc[at : at + n].reset_index(drop=True))
+            at += n
+        out = pd.concat(lines.mark_runs(iter(parts)))
+        pick = lambda k: sorted(map(tuple, out[out.kind == k][["h1", "id", "pos"]].to_numpy().tolist()))
+        assert pick(lines.DROP) == [(3, 9, 1), (3, 9, 2)]
+        assert pick(lines.FIRST_RUN) == [(1, 4, 0), (1, 4, 1), (1, 6, 0)]
+        assert pick(lines.EDGE) == [(1, 4, 0), (3, 2, 0)]
+
+
+def test_one_hot_line_over_many_partitions(spark):
+    docs = [(i, f"{COMMON}\nown line of document {i}") for i in range(3000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    assert lines.line_dedup(df).where("n_dropped = 1").count() == 2999
+
+
+def test_bitmap_round_trip():
+    text = "a\nb\n\nc"
+    keep = zlib.compress(np.packbits([1, 0, 1, 1], bitorder="little").tobytes())
+    assert lines.kept_text(text, keep) == "a\n\nc" and lines.kept_text(text, None) == text
