@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, licenses, lines, simhash
+from . import exact, langid, licenses, lines, simhash, toxicity
 from .util import table
 
 
@@ -23,6 +23,16 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels that are not held out."""
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from the documents that are not held out."""
+    return langid.predict_language(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: 4-word shingles, at most 4 differing bits."""
     found = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
@@ -37,6 +47,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_toxicity": op7_toxicity,
+    "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_license_scan": op10_license_scan,
 }
