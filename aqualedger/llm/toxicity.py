@@ -258,7 +258,8 @@ def toxicity_scores(
         F.col(id_col).cast("long").alias("label_id"), F.col(label_col).cast("long").alias("toxic")
     ).distinct()
     own = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).cast("long").alias("label_id"), whole_text(text_col).alias("text"))
-    models = train(own.join(known, "label_id").select("text", "toxic"), s)
+    # labels grow with the corpus, so they are never broadcast to the texts
+    models = train(own.join(known.hint("merge"), "label_id").select("text", "toxic"), s)
     rows = materialize(compared(docs, models, id_col, text_col), "toxicity")
     judged = rows.where("not null_id").join(known, F.col("id") == F.col("label_id"))
     sample = judged.orderBy(F.xxhash64("id"), "toxic").limit(s.calibration_rows).select("toxic", *[f"{f}2" for f in FEATURES]).toPandas()
