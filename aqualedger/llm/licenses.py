@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .util import ascii_lower, order_id, whole_text
+from .util import ascii_lower, materialize, order_id, whole_text
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 MAX_WORDS = 64  # a template's pairs fit the bits of a long
@@ -84,10 +84,11 @@ def license_spans(
     rolled = rows.select("id", "tag", F.posexplode(pairs).alias("pos", "pair")).withColumn("h", F.xxhash64("pair"))
     known = template_positions(docs.sparkSession, templates or TEMPLATES)  # a fixed list of short phrases
     votes = rolled.join(F.broadcast(known), "h").where("pair = tpair")
-    diagonals = (
+    diagonals = materialize(
         votes.select("id", "tag", "template", "label", "base", "pairs", "pos", "tpos", (F.col("pos") - F.col("tpos")).alias("diagonal"))
         .groupBy("id", "tag", "template", "label", "base", "pairs", "diagonal")
-        .agg(F.bit_or(F.expr("shiftleft(1L, tpos)")).alias("seen"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, tpos)")).alias("seen"), F.min("pos").alias("lo"), F.max("pos").alias("hi")),
+        "diagonals",
     )
     exact = diagonals.where("base and bit_count(seen) = pairs").select(
         "id", "tag", "template", "label", "base", F.col("lo").alias("first_word"), (F.col("hi") + 1).alias("last_word"), F.lit(1.0).alias("cover")

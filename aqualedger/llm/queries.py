@@ -7,10 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, langid, licenses, lines, simhash, toxicity
+from . import exact, knn, langid, licenses, lines, merkle, mixing, packing, simhash, toxicity
 from .util import table
 
 
+def op1_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of the pages' WARC records against a replica derived from them, in which some
+    records have rotted (first letter overwritten) and some are missing."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    good = merkle.warc_records(pages)
+    rotten = F.octet_length("html") % 97 == 5
+    html = F.when(rotten, F.concat(F.lit("~"), F.substring("html", 2, 2**31 - 1))).otherwise(F.col("html"))
+    payload = merkle.warc_payload(html="rotted")
+    copy = pages.where(~F.coalesce(F.octet_length("html") % 211 == 7, F.lit(False))).withColumn("rotted", html)
+    copy = copy.select("page_id", F.sha2(merkle.warc_payload(), 256).alias("digest"), F.octet_length(payload).cast("long").alias("copied"), F.sha2(payload, 256).alias("copy_digest"))
+    # the copy's records lie where the originals do
+    replica = good.join(copy.distinct(), ["page_id", "digest"]).select("file", "offset", F.col("copied").alias("length"), F.col("copy_digest").alias("digest"))
+    return merkle.audit(good, replica)
+
+
+def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into bins of 4096 words, copies and crowded sources kept apart."""
+    return packing.best_fit(table(spark, sf_dir, "documents"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents interleaved by source, every source with equal weight while it lasts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs, weights={}).select("doc_id", "source", "mix_slot", "mix_pos")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What line dedup (keys of at least 10 code points) leaves of every document."""
     left = lines.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=10)
@@ -23,6 +49,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every 50th vector with all others."""
+    rows = knn.quantized(table(spark, sf_dir, "embeddings"))
+    return knn.top_k(rows, F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels that are not held out."""
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -45,8 +77,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_merkle_fixity": op1_merkle_fixity,
+    "op2_best_fit": op2_best_fit,
+    "op3_mixing": op3_mixing,
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_knn": op6_knn,
     "op7_toxicity": op7_toxicity,
     "op8_language": op8_language,
     "op9_simhash": op9_simhash,
@@ -54,6 +90,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_merkle_fixity": r"""
+WITH parts AS (
+  SELECT page_id, page_id // 1024 AS file,
+         'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: '
+           || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' AS head,
+         chr(13) || chr(10) || chr(13) || chr(10) AS gap, coalesce(html, '') AS body,
+         CASE WHEN strlen(html) % 97 = 5 THEN '~' || substr(html, 2) ELSE coalesce(html, '') END AS rotted,
+         coalesce(strlen(html) % 211 = 7, false) AS lost
+  FROM pages),
+records AS (
+  SELECT page_id, file, lost, head || strlen(body) || gap || body || gap AS a, head || strlen(rotted) || gap || rotted || gap AS b FROM parts),
+placed AS (
+  SELECT file, lost, strlen(a) AS length_a, strlen(b) AS len_b, sha256(a) AS digest_a, sha256(b) AS dig_b,
+         sum(strlen(a)) OVER (PARTITION BY file ORDER BY page_id) - strlen(a) AS "offset"
+  FROM records)
+SELECT file, CAST("offset" // 65536 AS BIGINT) AS leaf, CAST("offset" AS BIGINT) AS "offset",
+       CASE WHEN lost THEN 'missing' ELSE 'changed' END AS kind, length_a,
+       CASE WHEN NOT lost THEN len_b END AS length_b, digest_a, CASE WHEN NOT lost THEN dig_b END AS digest_b
+FROM placed WHERE lost OR digest_a <> dig_b
+""",
     "op4_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -77,5 +133,18 @@ FROM marked GROUP BY doc_id
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+""",
+    "op6_knn": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 5
 """,
 }

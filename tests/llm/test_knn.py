@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from aqualedger.llm import knn
+
+
+def brute(rows, every, k=5):
+    v = []
+    for i, x in rows:
+        if i is not None and x is not None and all(c is not None and math.isfinite(c) for c in x):
+            v.append((i, tuple(math.floor(256 * c) for c in x)))
+    v = sorted(set(v))
+    out = {}
+    for q in sorted({i for i, _ in v if i % every == 0}):
+        best = []
+        for qi, a in v:
+            if qi == q:
+                best += [(-sum(s * t for s, t in zip(a, b)), i) for i, b in v if i != q]
+        out[q] = [(i, -s) for s, i in sorted(best)[:k]]
+    return {q: x for q, x in out.items() if x}
+
+
+def run(spark, rows, every=5, k=5, **more):
+    df = spark.createDataFrame([(i, x, "c") for i, x in rows], "vec_id long, embedding array<double>, cell string").repartition(4)
+    got = knn.top_k(knn.quantized(df), F.col("vec_id") % every == 0, k, knn.Settings(**more)).collect()
+    out = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert len(out[r.query_id]) == r.rank
+    return out
+
+
+def test_matches_brute_force_with_hot_vector_and_small_blocks(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(6, 8))
+    rows = [(i, (centres[i % 6] + 0.2 * rng.normal(size=8)).tolist()) for i in range(200)]
+    rows += [(1000 + i, rows[0][1]) for i in range(100)]  # a third of all rows alike, and ties
+    want = brute(rows, 5)
+    assert run(spark, rows) == want
+    assert run(spark, rows, max_pivots=7, rows_per_block=20, queries_per_group=10) == want
+
+
+def test_odd_rows(spark):
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (5, [0.5]), (5, [-3.0, 1.0]), (7, []), (8, None), (9, [1.0, None]), (10, [float("nan"), 1.0]), (15, [float("inf"), 1.0]), (None, [1.0, 1.0]), (12, [1.0, 2.0, 100.0]), (20, [0.0, 0.0])]
+    assert run(spark, rows, k=3) == brute(rows, 5, 3)
+
+
+def test_tiny_and_empty(spark):
+    assert run(spark, [(0, [1.0])]) == {} and run(spark, []) == {}
+    assert run(spark, [(0, [1.0]), (3, [2.0])]) == {0: [(3, 256 * 512)]}
+
+
+def test_bounds_close_cells():
+    cells = knn.Cells(np.array([1, 2]), np.array([[100, 0], [0, 100]]))
+    cells.radius[:], cells.blocks[:] = 5, 1
+    floor, opened = cells.open_cells(np.array([[10, 0]]), np.array([9]), 1)
+    assert floor[0] == 1000 and opened.tolist() == [[True, False]]
