@@ -8,7 +8,7 @@ same command runs on a cluster or locally.
 
 Reads the fourteen landed tables under ``--tables`` (one folder per table, optionally
 partitioned by ``bill_month``), builds the transaction table for the window and writes it
-partitioned by bill month; re-running a window replaces only its months.
+partitioned by bill month; the window has whole months, each of which is replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import SparkSession
 
 from .operators.transactions import transactions
 from .plans import checks
-from .session import ensure_checkpoint_dir
 from .sources.landing import read_tables
 from .sources.sinks import write_months
 
@@ -36,11 +35,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap.add_argument("--lenient-dates", action="store_true", help="invalid MMDDYYYY dates give NULL instead of failing")
     ap.add_argument("--explain", action="store_true", help="print the plan checks instead of running the job")
     ap.add_argument("--known-schema", action="store_true", help="tables were written by sinks.land_tables: skip schema inference")
+    ap.add_argument("--month-column", help="integer YYYYMM partition column of the history tables")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("aqualedger").getOrCreate()
-    ensure_checkpoint_dir(spark)
-    tables = read_tables(spark, args.tables, args.format, known_schema=args.known_schema)
+    tables = read_tables(spark, args.tables, args.format, known_schema=args.known_schema, month_col=args.month_column)
     month = transactions(
         tables, args.start, args.end, strict=not args.lenient_dates, with_rate_class=args.with_rate_class
     )
@@ -49,7 +48,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             print(f"{scan['location']}\n  pushed: {scan['pushed_filters']}\n  partitions: {scan['partition_filters']}")
         print(f"exchanges: {checks.exchange_count(month)}; forbidden operators: {checks.violations(month) or 'none'}")
         return
-    write_months(month, args.out)
+    write_months(month, args.out, window=(args.start, args.end))
 
 
 if __name__ == "__main__":

@@ -47,6 +47,8 @@ def in_months(df: DataFrame, start_key: int, end_key: int, month_col: str = "bil
     """Add a partition filter on ``month_col`` (YYYYMM) covering the window when the
     table is month-partitioned; otherwise return ``df`` unchanged.  Spark cannot derive
     this filter from a bill-date predicate by itself."""
+    if start_key is None or end_key is None:
+        raise ValueError("a window needs both its first and its last bill date")
     if month_col not in df.columns:
         return df
     return df.where(F.col(month_col).between(start_key // 100, end_key // 100))

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from ..functions.codes import CODE_BILLING_RECORD
 from ..functions.datekeys import in_months
-from .joins import skew_left_join
 
 # The 15 line columns, by position; names come from the flat-rate branch.
 LINE_SCHEMA = T.StructType(
@@ -44,7 +43,6 @@ def bill_headers(
     customers: DataFrame,
     start_key: int | None = None,
     end_key: int | None = None,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Billing records (code 99) with the customer's CIS number and premise.  Built once
     and shared by both branches; a customer listed twice fans out here."""
@@ -53,7 +51,7 @@ def bill_headers(
         hf = in_months(hf, start_key, end_key).where(F.col("cihis_date").between(start_key, end_key))
     hf = hf.select("cihis_cust", "cihis_date", "cihis_reference")
     wcm = customers.select("customernumber", "cisnumberofbilledaccount", "premisenumber")
-    return skew_left_join(hf, wcm, [("cihis_cust", "customernumber")], hot_rows=hot_rows).drop("customernumber")
+    return hf.join(wcm, F.col("cihis_cust") == F.col("customernumber"), "left").drop("customernumber")
 
 
 def bill_items_branch(headers: DataFrame, items: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import TXN_BLOCK_HEADER
 from ..functions.datekeys import date_key, in_months, key_in_range
 from ..functions.text import zero_if_null_sum
-from .joins import skew_left_join
+from .joins import split_left_join
 
 BLOCK_KEYS = ["consumptionhistid", "readsequence"]
 MEASURES = [("blockusage", "blkuse"), ("blockamount", "blkamt"), ("blockrate", "blkrate")]
@@ -91,7 +91,6 @@ def block_use_by_premise(
     blkuse: DataFrame,
     link: DataFrame,
     n_tiers: int = 5,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Headers with their tiers and totals, fanned out to every premise of the account.
 
@@ -100,11 +99,10 @@ def block_use_by_premise(
     """
     tiers = range(1, n_tiers + 1)
     with_blocks = header.join(blkuse, BLOCK_KEYS, "left")
-    linked = skew_left_join(
+    linked = split_left_join(
         with_blocks,
         link.select("wacm_cust", "premiseid", "wacm_address_seq_no"),
         [("accountnumber", "wacm_cust")],
-        hot_rows=hot_rows,
     )
     return linked.select(
         "premiseid",

@@ -1,13 +1,9 @@
-"""Join strategies that hold up when one key carries a large share of the rows.
+"""Left outer joins whose right side may have hot keys.
 
-* ``skew_left_join``: left outer equi-join whose right side may have hot keys.  AQE can
-  split a skewed *left* partition of a left outer join, but never the right one, so a
-  hot right key would put its whole fan-out into one task.  Hot right keys are found
-  with a pre-aggregated count (bounded top-k, so broadcasting it is safe), their right
-  rows are spread over salt buckets, and their left rows are replicated once per bucket;
-  cold keys pass through the same join with a single bucket.
-* ``broadcast_if_bounded``: broadcast a side only after counting that it is small.
-"""
+AQE splits a skewed partition on both sides of an inner join, but only on the left of a
+left outer join, so a hot right key would put its whole fan-out into one task.
+``split_left_join`` therefore writes the left outer join as the inner join plus the left
+rows without a partner, for any key and at any size: no counts, no salts, no hot list."""
 
 from __future__ import annotations
 
@@ -25,87 +21,16 @@ def _eq(on: Sequence[tuple[str, str]]) -> Column:
     return cond
 
 
-def hot_keys(right: DataFrame, keys: Sequence[str], hot_rows: int, max_hot_keys: int, max_salts: int) -> DataFrame:
-    """Up to ``max_hot_keys`` right keys with at least ``hot_rows`` rows, each with a
-    salt bucket count.  The count is partially aggregated before its shuffle, so a hot
-    key never lands whole in one task; the top-k bounds the result's size.  The order is
-    total (count, then keys), so every evaluation picks the same keys: both join sides
-    are tagged from this list and must agree on it."""
-    not_null = None
-    for k in keys:
-        term = F.col(k).isNotNull()
-        not_null = term if not_null is None else not_null & term
-    counts = right.where(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        counts.where(F.col("_n") >= hot_rows)
-        .orderBy(F.desc("_n"), *[F.asc(k) for k in keys])
-        .limit(max_hot_keys)
-        .select(
-            *[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
-            F.least(F.lit(max_salts), F.ceil(F.col("_n") / F.lit(hot_rows))).cast("int").alias("_salts"),
-        )
-    )
-
-
-def skew_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[tuple[str, str]],
-    *,
-    hot_rows: int | None = None,
-    max_hot_keys: int = 1000,
-    max_salts: int = 256,
-) -> DataFrame:
+def split_left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
     """``left LEFT OUTER JOIN right ON left.a = right.b AND ...`` (``on`` = [(a, b), ...]).
 
-    Column names of the two sides must be disjoint.  With ``hot_rows=None`` this is the
-    plain join and skew is left to AQE.  Otherwise one join on (keys, salt): a right row
-    of a hot key goes to bucket ``hash(row) % salts``, a left row of a hot key is copied
-    once per bucket, cold rows use bucket 0.  A copy that meets an empty bucket yields a
-    NULL-extended row; for hot keys those rows are dropped, which is exact because a hot
-    key has right rows in some bucket.  The salt hashes the row itself, so a task
-    recomputed after an executor loss reproduces the same buckets.
-    """
-    clash = set(left.columns) & set(right.columns)
+    Column names of the two sides must be disjoint.  NULL keys match nothing.  The rows
+    without a partner come from an anti join with the right side's keys alone, made distinct
+    before their shuffle, so a hot key is one row there."""
+    clash = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
     if clash:
         raise ValueError(f"left and right share column names: {sorted(clash)}")
-    cond = _eq(on)
-    if hot_rows is None:
-        return left.join(right, cond, "left")
-    if hot_rows < 1 or max_hot_keys < 1 or max_salts < 1:
-        raise ValueError("hot_rows, max_hot_keys and max_salts must be at least 1")
-
-    lkeys = [a for a, _ in on]
-    rkeys = [b for _, b in on]
-    hot = F.broadcast(hot_keys(right, rkeys, hot_rows, max_hot_keys, max_salts))
-    hk = [f"_hk{i}" for i in range(len(on))]
-
-    salts = F.col("_salts")
-    lt = (
-        left.join(hot, _eq(list(zip(lkeys, hk))), "left")
-        .withColumns({"_hot": salts, "_salt": F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1))})
-        .drop(*hk, "_salts")
-    )
-    rt = (
-        right.withColumn("_row_hash", F.expr("xxhash64(*)"))
-        .join(hot, _eq(list(zip(rkeys, hk))), "left")
-        .withColumns(
-            {
-                "_salt_r": F.when(salts.isNull(), F.lit(0)).otherwise(
-                    F.pmod(F.col("_row_hash"), salts.cast("long")).cast("int")
-                ),
-                "_matched": F.lit(True),
-            }
-        )
-        .drop(*hk, "_salts", "_row_hash")
-    )
-    joined = lt.join(rt, cond & (F.col("_salt") == F.col("_salt_r")), "left")
-    kept = joined.where(F.col("_hot").isNull() | F.col("_matched").isNotNull())
-    return kept.drop("_hot", "_salt", "_salt_r", "_matched")
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked with a
-    bounded count that stops reading after ``max_rows + 1`` rows)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    matched = left.join(right, _eq(on), "inner")
+    keys = right.select(*[F.col(b) for _, b in on]).distinct()
+    alone = left.join(keys, _eq(on), "left_anti")
+    return matched.unionByName(alone.withColumns({c: F.lit(None).cast(t) for c, t in right.dtypes}))

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import RATE_APPLICATION, rate_schedule, utility_type
 from ..functions.text import nvl
-from .joins import broadcast_if_bounded
-
-CODE_TABLE_MAX_ROWS = 100_000
 
 
 def with_group_max(df: DataFrame, partition_cols: Sequence[str], order_col: str, name: str) -> DataFrame:
@@ -82,10 +79,7 @@ def rate_class(
     """Rate masters of application 3 with kind description, latest details, billing
     descriptions, utility type and rate schedule (one row per match of each join)."""
     r1 = ratemaster.where(F.col("application") == RATE_APPLICATION)
-    r2 = broadcast_if_bounded(
-        ratekind.select(F.col("ratekindid").alias("r2_kind"), F.col("description").alias("rkind_desc")),
-        CODE_TABLE_MAX_ROWS,
-    )
+    r2 = ratekind.select(F.col("ratekindid").alias("r2_kind"), F.col("description").alias("rkind_desc"))
     r3 = latest_details(detail).select(
         F.col("ratemasterid").alias("r3_master"),
         F.col("ratedetailid").alias("r3_detail"),

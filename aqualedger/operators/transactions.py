@@ -10,28 +10,24 @@ from ..sources.landing import BillingTables
 from .bill_lines import bill_headers, bill_items_branch, bill_lines, bill_metered_branch
 from .blocks import account_premise_link, block_header, block_use, block_use_by_premise
 from .items import billable_items
-from .joins import skew_left_join
+from .joins import split_left_join
 from .rates import rate_class
 from .usage import total_usage
 
-# Rows per key above which a right-side join key counts as hot and is salted.
-HOT_ROWS = 100_000
-
 
 def bill_lines_in_window(
     t: BillingTables,
     start_key: int | None,
     end_key: int | None,
     strict: bool = True,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Distinct bill lines whose bill date is in the window.  Every branch joins on the
     billing record's date, so the window is applied to each source before its aggregate;
     ``None`` bounds give all lines."""
-    headers = bill_headers(t.fcihistf, t.wawatercustomermaster, start_key, end_key, hot_rows)
+    headers = bill_headers(t.fcihistf, t.wawatercustomermaster, start_key, end_key)
     items = billable_items(t.fcihistv, t.cibillableitem, start_key, end_key, strict)
     usage = total_usage(
-        t.ciconsumptionhist, t.wawatercustomermaster, t.fciregister, start_key, end_key, hot_rows=hot_rows
+        t.ciconsumptionhist, t.wawatercustomermaster, t.fciregister, start_key, end_key
     )
     return bill_lines(bill_items_branch(headers, items), bill_metered_branch(headers, usage))
 
@@ -41,7 +37,6 @@ def premise_block_use(
     start_key: int | None,
     end_key: int | None,
     n_tiers: int = 5,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Block use per premise for headers billed in the window.  Only blocks of those
     headers are aggregated (semi join before the pivot)."""
@@ -51,7 +46,7 @@ def premise_block_use(
         # blocks landed under their header's bill month (``sinks.land_blocks_by_month``)
         blocks = in_months(blocks, start_key, end_key)
     pivot = block_use(blocks, n_tiers, only_keys=headers)
-    return block_use_by_premise(headers, pivot, account_premise_link(t.fwacmas), n_tiers, hot_rows)
+    return block_use_by_premise(headers, pivot, account_premise_link(t.fwacmas), n_tiers)
 
 
 # Output name <- line or block-use column, in the table's column order.
@@ -90,35 +85,30 @@ def transactions(
     end_key: int,
     n_tiers: int = 5,
     strict: bool = True,
-    hot_rows: int | None = HOT_ROWS,
     with_rate_class: bool = False,
-    salt_rows: int | None = None,
 ) -> DataFrame:
     """One row per bill line billed in ``[start_key, end_key]`` (YYYYMMDD) and per block
     header of the line's premise on its bill date; lines with no header keep NULL tiers.
 
     The premise join is by premise and bill date only, so a line receives the block use
     of every header on that premise and day.  The result is a bag (no final distinct).
-    Right-side keys with at least ``hot_rows`` rows are salted in the two fan-out joins
-    (account to premise links, and premise and day); ``salt_rows`` does the same for
-    the customer-master joins of the bill lines.  ``None`` leaves skew to AQE alone.
+    The two fan-out joins (premise and day, rate class) may have hot keys on either side;
+    they are written so that AQE can split both.
     ``with_rate_class`` adds the rate schedule and utility type of the line's rate.
     """
-    # The customer master is keyed by customer: a hot account is on the left side of those
-    # joins, where AQE's skew-join split applies, so they are not salted here.
-    lines = bill_lines_in_window(t, start_key, end_key, strict, salt_rows).where(
+    lines = bill_lines_in_window(t, start_key, end_key, strict).where(
         F.col("cihis_date").between(start_key, end_key)
     )
     tiers = [f"{p}_{n}" for p in ("blkuse", "blkamt", "blkrate") for n in range(1, n_tiers + 1)]
-    b4 = premise_block_use(t, start_key, end_key, n_tiers, hot_rows).select(
+    b4 = premise_block_use(t, start_key, end_key, n_tiers).select(
         "premiseid", "billdate", "numberofdays", "tot_use", "tot_amt", *tiers
     )
-    j = skew_left_join(lines, b4, [("premisenumber", "premiseid"), ("cihis_date", "billdate")], hot_rows=hot_rows)
+    j = split_left_join(lines, b4, [("premisenumber", "premiseid"), ("cihis_date", "billdate")])
     if with_rate_class:
         # Both joins are left joins from the line on keys of the line only, so their order
         # does not change the bag; the rate-class fan-out goes last, after every shuffle.
         rc = rate_class(
             t.ciratemaster, t.ciratekind, t.ciratedetail, t.ciitemratedetail, t.ciitemcode, t.cisteprate
         ).select(F.col("rate").alias("rc_rate"), "rsch", "utl_typ")
-        j = skew_left_join(j, rc, [("cihis_rate1", "rc_rate")], hot_rows=hot_rows)
+        j = split_left_join(j, rc, [("cihis_rate1", "rc_rate")])
     return _layout(j, n_tiers, with_rate_class)

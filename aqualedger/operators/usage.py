@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.codes import SIZE_REGISTER, TXN_READING, register_service_size
 from ..functions.datekeys import date_key, elapsed_days, in_months, key_in_range
 from ..functions.text import trim_to_null
-from .joins import skew_left_join
 
 USAGE_GROUP_KEYS = [
     "accountnumber",
@@ -73,7 +72,6 @@ def total_usage(
     start_key: int | None = None,
     end_key: int | None = None,
     keep_raw_billdate: bool = False,
-    hot_rows: int | None = None,
     sorted: bool = False,
 ) -> DataFrame:
     """Consumption and charges per account, bill time, service, meter, class, rate,
@@ -86,7 +84,7 @@ def total_usage(
     """
     ch = readings(hist, start_key, end_key)
     wcm = customers.select("customernumber", "cisnumberofbilledaccount", "premisenumber")
-    j = _with_register(skew_left_join(ch, wcm, [("accountnumber", "customernumber")], hot_rows=hot_rows), registers)
+    j = _with_register(ch.join(wcm, F.col("accountnumber") == F.col("customernumber"), "left"), registers)
     derived = j.select(
         "accountnumber",
         F.col("billdate").alias("billdate_ts"),

@@ -135,7 +135,7 @@ BUILDERS: dict[str, Callable[[BillingTables], DataFrame]] = {
         _headers_all(t), usage.total_usage(t.ciconsumptionhist, t.wawatercustomermaster, t.fciregister)
     ),
     "bill_lines_union": _all_lines,
-    "bill_date_range": lambda t: _all_lines(t).where(F.col("cihis_date").between(*WINDOW)),
+    "bill_date_range": lambda t: transactions.bill_lines_in_window(t, *WINDOW),
     # --- final table ------------------------------------------------------------------
     "transactions": lambda t: transactions.transactions(t, *WINDOW),
     # --- rate class (kept out of the default output) ------------------------------------

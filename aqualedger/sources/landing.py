@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 
 from .schemas import SCHEMAS
 
-# Partition column of month-partitioned history (YYYYMM); kept by ``conform`` when present.
+# Partition column (YYYYMM of the bill date) of the history tables landed by this library.
 MONTH_COL = "bill_month"
+HISTORY = ("ciconsumptionhistblock", "ciconsumptionhist", "fcihistv", "fcihistf")
 
 
 def conform(
@@ -26,9 +27,12 @@ def conform(
     *,
     blank_to_null: bool = True,
     rtrim_char: Iterable[str] = (),
+    month_col: str | None = None,
 ) -> DataFrame:
-    """Select, cast and clean the columns ``table`` needs, in schema order.  A
-    ``bill_month`` partition column is kept, so month filters can prune partitions."""
+    """Select, cast and clean the columns ``table`` needs, in schema order.  ``month_col``
+    names the integer YYYYMM partition column of a history table, if it has one; it is kept as
+    ``bill_month``, so month filters can prune partitions.  A column that merely happens to be
+    called so is dropped like any other unused column."""
     rtrim = {c.lower() for c in rtrim_char}
     exprs: list[str] = []
     for field in SCHEMAS[table].fields:
@@ -39,8 +43,11 @@ def conform(
             if blank_to_null:
                 c = f"nullif({c}, '')"
         exprs.append(f"{c} AS `{field.name}`")
-    if any(c.lower() == MONTH_COL for c in df.columns):
-        exprs.append(f"`{MONTH_COL}` AS `{MONTH_COL}`")
+    if month_col is not None and table in HISTORY:
+        kind = {f.name.lower(): f.dataType for f in df.schema.fields}.get(month_col.lower())
+        if not isinstance(kind, T.IntegralType):
+            raise ValueError(f"{table} has no integer month column {month_col}")
+        exprs.append(f"`{month_col}` AS `{MONTH_COL}`")
     return df.selectExpr(*exprs)
 
 
@@ -73,6 +80,7 @@ def read_tables(
     base_path: str,
     fmt: str = "parquet",
     known_schema: bool = False,
+    month_col: str | None = None,
     **conform_opts,
 ) -> BillingTables:
     """Read ``<base_path>/<table>`` for every source table in ``fmt`` and conform it.
@@ -80,15 +88,17 @@ def read_tables(
     History tables landed partitioned by bill month get partition pruning once the month
     filter reaches the scan.  ``known_schema=True`` reads with the conformed schemas
     instead of inferring them from file footers; use it for tables written by
-    ``sinks.land_tables`` (other files may store other types, which ``conform`` casts).
+    ``sinks.land_tables`` (other files may store other types, which ``conform`` casts), whose
+    month column it also takes.  For other month-partitioned history name the ``month_col``.
     """
+    month_col = MONTH_COL if known_schema and month_col is None else month_col
     frames = {}
     for name, schema in SCHEMAS.items():
         reader = spark.read.format(fmt)
         if known_schema:
             reader = reader.schema(schema)
         frames[name] = reader.load(f"{base_path.rstrip('/')}/{name}")
-    return BillingTables.from_mapping(frames, **conform_opts)
+    return BillingTables.from_mapping(frames, month_col=month_col, **conform_opts)
 
 
 def read_jdbc_table(
@@ -122,3 +132,31 @@ def read_jdbc_table(
             .option("numPartitions", str(num_partitions))
         )
     return conform(reader.load(), table.split(".")[-1].lower(), **conform_opts)
+
+
+def read_jdbc_tables(
+    spark: SparkSession,
+    url: str,
+    names: Mapping[str, str],
+    splits: Mapping[str, tuple[str, int, int, int]],
+    *,
+    properties: Mapping[str, str] | None = None,
+    rtrim_char: Mapping[str, Iterable[str]] | None = None,
+) -> BillingTables:
+    """All fourteen tables over JDBC, ready for ``sinks.land_tables``.
+
+    ``names`` maps each table to its qualified source name.  ``splits`` gives (numeric column,
+    lower bound, upper bound, partitions) per table; the four history tables need one, as a
+    whole history through one connection would be a single task.  ``rtrim_char`` lists the CHAR
+    columns to right-trim, by table."""
+    missing = [n for n in SCHEMAS if n not in names] + [n for n in HISTORY if n not in splits]
+    if missing:
+        raise ValueError(f"source name or split missing for {sorted(set(missing))}")
+    frames = {}
+    for table in SCHEMAS:
+        column, low, high, parts = splits.get(table, (None, None, None, None))
+        reader = spark.read.format("jdbc").option("url", url).option("dbtable", names[table]).options(**(properties or {}))
+        if column is not None:
+            reader = reader.option("partitionColumn", column).option("lowerBound", low).option("upperBound", high).option("numPartitions", parts)
+        frames[table] = conform(reader.load(), table, rtrim_char=(rtrim_char or {}).get(table, ()))
+    return BillingTables(**frames)

@@ -2,45 +2,79 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.datekeys import key_to_date
 from .landing import BillingTables
 
 
+NO_MONTH = 0  # partition of landed blocks that no dated header claims
+
+
+def _write_partitioned(df: DataFrame, path: str, partition_col: str) -> None:
+    """Dynamic partition overwrite with rows gathered by month first: files per month follow
+    the month's size, not the number of tasks; a large month still has several writers."""
+    (
+        df.hint("rebalance", F.col(partition_col))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .parquet(path)
+    )
+
+
+def months_of(start_key: int, end_key: int) -> list[int]:
+    """The months (YYYYMM) of a window of whole months; a window that cuts a month is refused,
+    since writing it would replace the month by a part of it."""
+    first, last = key_to_date(start_key), key_to_date(end_key)
+    if first > last:
+        raise ValueError("the window ends before it starts")
+    if first.day != 1 or (last + dt.timedelta(days=1)).day != 1:
+        raise ValueError(f"{start_key} to {end_key} does not cover whole months")
+    return [y * 100 + m for y in range(first.year, last.year + 1) for m in range(1, 13) if start_key // 100 <= y * 100 + m <= end_key // 100]
+
+
 def write_months(
     df: DataFrame,
     path: str,
     date_key_col: str = "bld",
     partition_col: str = "bill_month",
     month: Column | None = None,
+    window: tuple[int, int] | None = None,
 ) -> None:
     """Write ``df`` partitioned by bill month: YYYYMM from the YYYYMMDD key
     ``date_key_col``, or the given ``month`` expression.
 
-    Dynamic partition overwrite replaces only the months present in ``df``, so re-running
-    a month (for instance after a failed job) is idempotent and leaves other months alone.
+    With a ``window`` (first and last bill date of whole months) every month of it is replaced,
+    also a month that ``df`` has no row of, and rows outside it are refused by not being
+    written.  Without one, the months present in ``df`` are replaced and others left alone.
     """
     month = month if month is not None else F.floor(F.col(date_key_col) / 100).cast("int")
-    (
-        df.withColumn(partition_col, month)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
+    df = df.withColumn(partition_col, month)
+    if window is None:
+        _write_partitioned(df, path, partition_col)
+        return
+    for m in months_of(*window):  # one job per month, each of its own folder
+        own = df.where(F.col(partition_col) == m).drop(partition_col).hint("rebalance")
+        own.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{partition_col}={m}")
+
 
+def create_view(t: BillingTables, name: str, start_key: int, end_key: int, **options) -> DataFrame:
+    """The transaction table of a window as a temporary view ``name``."""
+    from ..operators.transactions import transactions
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the session's checkpoint folder (``spark.checkpoint.dir``,
-    shared storage on a cluster) so a lost executor does not recompute its lineage."""
-    return df.checkpoint(eager=True)
+    df = transactions(t, start_key, end_key, **options)
+    df.createOrReplaceTempView(name)
+    return df
 
 
 def land_blocks_by_month(blocks: DataFrame, hist: DataFrame, path: str, partition_col: str = "bill_month") -> None:
-    """Land consumption blocks partitioned by the bill month of their block header.
+    """Land consumption blocks partitioned by the bill month of their block header; blocks
+    that no dated header claims go to the partition NO_MONTH, which no window reads.
 
     Blocks carry no date of their own, so without this a month's run must look at the
     whole block history to find its blocks.  Run it per month on new history (dynamic
@@ -62,20 +96,15 @@ def land_blocks_by_month(blocks: DataFrame, hist: DataFrame, path: str, partitio
     clash = months.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
     if clash:
         raise ValueError(f"block key billed in more than one month, e.g. {clash[0][:2]}")
-    (
-        blocks.join(months, keys, "inner")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
+    placed = blocks.join(months, keys, "left").withColumn(partition_col, F.coalesce(partition_col, F.lit(NO_MONTH)))
+    _write_partitioned(placed, path, partition_col)
 
 
 def land_tables(t: BillingTables, path: str) -> None:
     """Write all fourteen conformed tables under ``path/<table>``: the three history tables
     partitioned by bill month (re-runnable per month), blocks under their header's month,
-    the reference tables whole.  ``read_tables(spark, path)`` reads them back with the
-    month as a partition column, so a window prunes every history scan."""
+    the reference tables whole.  ``read_tables(spark, path, known_schema=True)`` reads them back with
+    the month as a partition column, so a window prunes every history scan."""
     from ..functions.datekeys import date_key
 
     root = path.rstrip("/")

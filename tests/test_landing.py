@@ -1,4 +1,4 @@
-"""Landing and join helpers: conform, block landing by month, bounded broadcast, hot keys."""
+"""Landing and join helpers: conform, block landing by month, JDBC options, split joins."""
 
 from __future__ import annotations
 
@@ -7,9 +7,10 @@ from decimal import Decimal as D
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from aqualedger.operators import items
-from aqualedger.operators.joins import broadcast_if_bounded, hot_keys
+from aqualedger.operators.joins import split_left_join
 from aqualedger.sources.landing import conform
 from aqualedger.sources.sinks import land_blocks_by_month
 
@@ -31,7 +32,10 @@ def test_conform_casts_trims_and_nulls_blanks(spark):
 def test_conform_keeps_month_partition_column(spark):
     df = spark.createDataFrame([(1, 20210305, 99, 5, 202103)], "cihis_cust long, cihis_date int, cihis_code int, "
                                "cihis_reference long, bill_month int")
-    assert conform(df, "fcihistf").columns[-1] == "bill_month"
+    assert conform(df, "fcihistf", month_col="bill_month").columns[-1] == "bill_month"
+    assert "bill_month" not in conform(df, "fcihistf").columns  # a column of that name means nothing by itself
+    with pytest.raises(ValueError, match="month column"):
+        conform(df.withColumn("bill_month", F.lit("March")), "fcihistf", month_col="bill_month")
 
 
 def test_land_blocks_refuses_key_in_two_months(tables, tmp_path):
@@ -55,31 +59,50 @@ def test_strict_dates_fail_the_item_aggregate(tables):  # Q12
     assert (r.days, r.fromdate, r.totalcharges) == (None, 0, D(5))
 
 
-def test_broadcast_only_when_bounded(spark):
-    small, big = spark.range(5), spark.range(50)
-    assert "broadcast" in broadcast_if_bounded(small, 10)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in broadcast_if_bounded(big, 10)._jdf.queryExecution().logical().toString().lower()
+def test_landing_loses_no_block_and_no_row(spark, tmp_path):
+    from dataclasses import fields
 
+    from aqualedger.plans import catalog
+    from aqualedger.sources.landing import read_tables
+    from aqualedger.sources.sinks import land_tables
+    from aqualedger.sources.standins import standin_tables
 
-def test_hot_keys_bounded_and_salted(spark):
-    df = spark.createDataFrame([(k,) for k in [1] * 30 + [2] * 12 + [3] * 3 + [None] * 50], "k long")
-    got = sorted(tuple(r) for r in hot_keys(df, ["k"], hot_rows=10, max_hot_keys=5, max_salts=2).collect())
-    assert got == [(1, 2), (2, 2)]
-    assert hot_keys(df, ["k"], hot_rows=10, max_hot_keys=1, max_salts=8).collect()[0][0] == 1
+    t = standin_tables(spark, "/root/testdata/sf0.001")
+    land_tables(t, str(tmp_path))
+    landed = read_tables(spark, str(tmp_path), known_schema=True)
+    for f in fields(t):
+        assert getattr(landed, f.name).count() == getattr(t, f.name).count(), f.name
+    for key in ("block_use_pivot", "block_use_by_premise", "bill_date_range", "transactions"):
+        a, b = (catalog.BUILDERS[key](x) for x in (t, landed))
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), key
 
 
-def test_hot_key_cutoff_is_deterministic(spark):
-    """Ties at the top-k cut-off resolve by key, so both join sides see the same list."""
-    df = spark.createDataFrame([(k,) for k in (5, 3, 9, 1) for _ in range(4)], "k long").repartition(4)
-    picks = {tuple(r[0] for r in hot_keys(df, ["k"], hot_rows=2, max_hot_keys=2, max_salts=2).collect()) for _ in range(3)}
-    assert picks == {(1, 3)}
+def test_split_left_join_is_a_left_join(spark):
+    left = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 30 + [2, 2, 3, None])], "a int, x int")
+    right = spark.createDataFrame([(1, 7)] * 40 + [(2, 8), (4, 9), (None, 0)], "b int, y int")
+    got = split_left_join(left, right, [("a", "b")])
+    want = left.join(right, left.a == right.b, "left")
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    with pytest.raises(ValueError, match="share"):
+        split_left_join(left, right.withColumnRenamed("y", "X"), [("a", "b")])
+
+
+def test_jdbc_tables_need_names_and_history_splits(spark):
+    from aqualedger.sources.landing import HISTORY, read_jdbc_tables
+    from aqualedger.sources.schemas import SCHEMAS
+
+    names = {n: f"billing.{n}" for n in SCHEMAS}
+    with pytest.raises(ValueError, match="fcihistv"):
+        read_jdbc_tables(spark, "jdbc:none", names, {n: ("id", 0, 9, 4) for n in HISTORY if n != "fcihistv"})
+    with pytest.raises(ValueError, match="cisteprate"):
+        read_jdbc_tables(spark, "jdbc:none", {n: v for n, v in names.items() if n != "cisteprate"}, {n: ("id", 0, 9, 4) for n in HISTORY})
 
 
 def test_conform_upper_case_source_names(spark):
     """Names landed from the source database are upper case; conform lower-cases them."""
     df = spark.createDataFrame([(1, 20210305, 99, 5, 202103)], "CIHIS_CUST long, CIHIS_DATE int, CIHIS_CODE int, "
                                "CIHIS_REFERENCE long, BILL_MONTH int")
-    assert conform(df, "fcihistf").columns == ["cihis_cust", "cihis_date", "cihis_code", "cihis_reference", "bill_month"]
+    assert conform(df, "fcihistf", month_col="BILL_MONTH").columns == ["cihis_cust", "cihis_date", "cihis_code", "cihis_reference", "bill_month"]
 
 
 def test_jdbc_partitioning_needs_bounds(spark):
@@ -87,12 +110,3 @@ def test_jdbc_partitioning_needs_bounds(spark):
 
     with pytest.raises(ValueError, match="lower_bound"):
         read_jdbc_table(spark, "jdbc:none", "s.fcihistf", partition_column="cihis_cust", num_partitions=8)
-
-
-def test_skew_join_rejects_bad_thresholds(spark):
-    from aqualedger.operators.joins import skew_left_join
-
-    left, right = spark.range(3).withColumnRenamed("id", "a"), spark.range(3).withColumnRenamed("id", "b")
-    with pytest.raises(ValueError, match="hot_rows"):
-        skew_left_join(left, right, [("a", "b")], hot_rows=0)
-    assert skew_left_join(left, right, [("a", "b")], hot_rows=1).count() == 3

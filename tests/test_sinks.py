@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from aqualedger.sources.sinks import cut_lineage, write_months
+import pytest
+
+from aqualedger.sources.sinks import write_months
 
 
 def test_write_months_idempotent(spark, tmp_path):
@@ -16,10 +18,35 @@ def test_write_months_idempotent(spark, tmp_path):
     assert got == [(20210305, 1, 202103), (20210331, 2, 202103), (20210401, 3, 202104)]
 
 
-def test_cut_lineage_uses_checkpoint_dir(spark):
-    assert spark.sparkContext.getCheckpointDir()
-    df = cut_lineage(spark.range(10))
-    assert df.count() == 10
+def test_a_rerun_replaces_every_month_of_its_window(spark, tmp_path):
+    out, window = str(tmp_path / "tx"), (20210301, 20210430)
+    df = spark.createDataFrame([(20210305, 1), (20210401, 3)], "bld int, v int")
+    write_months(df, out, window=window)
+    write_months(df.where("bld > 20210400"), out, window=window)  # corrected: March is empty
+    assert [(r.bld, r.v) for r in spark.read.parquet(out).collect()] == [(20210401, 3)]
+    write_months(df.limit(0), out, window=window)
+    assert spark.read.parquet(out).count() == 0
+
+
+def test_a_window_that_cuts_a_month_is_refused(spark, tmp_path):
+    df = spark.createDataFrame([(20210310, 1)], "bld int, v int")
+    for window in ((20210310, 20210331), (20210301, 20210315), (20210401, 20210331)):
+        with pytest.raises(ValueError):
+            write_months(df, str(tmp_path / "tx"), window=window)
+    assert not (tmp_path / "tx").exists()
+
+
+def test_files_follow_the_data_not_the_tasks(spark, tmp_path):
+    df = spark.range(2000).selectExpr("cast(20210000 + 100 * (id % 12 + 1) + 1 as int) as bld", "id").repartition(40)
+    write_months(df, str(tmp_path / "tx"))
+    assert len(list((tmp_path / "tx").rglob("part-*.parquet"))) <= 24
+
+
+def test_view(spark, tables):
+    from aqualedger.sources.sinks import create_view
+
+    create_view(tables(), "monthly", 20210301, 20210331)
+    assert spark.sql("SELECT count(*) AS n FROM monthly").first().n == 0
 
 
 def test_batch_entry_point(spark, tables, tmp_path):
