@@ -69,13 +69,17 @@ def standin_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     # ... and meter readings (code 2, and code 7 as noise) from order lines.
     even_line = F.col("l_linenumber") % 2 == 0
-    hist_readings = li_ord.select(
-        F.col("o_custkey").alias("accountnumber"),
+    # every third line is read twice: line 3 at the same bill time, line 6 three hours later;
+    # some readings have no account
+    read_on = F.when(even_line, odate + F.expr("INTERVAL 10 HOURS")).otherwise(odate)
+    times = F.when(F.col("l_linenumber") % 3 == 0, F.sequence(F.lit(1), F.lit(2))).otherwise(F.sequence(F.lit(1), F.lit(1)))
+    hist_readings = li_ord.withColumn("copy", F.explode(times)).select(
+        F.when(F.col("o_orderkey") % 97 != 0, F.col("o_custkey")).alias("accountnumber"),
         F.col("o_orderkey").alias("consumptionhistid"),
         (F.col("o_orderkey") % 2).alias("readsequence"),
         _padded(F.col("l_partkey")).alias("device"),
         (F.col("l_linenumber") % 2).alias("devicecode"),
-        F.when(even_line, odate + F.expr("INTERVAL 10 HOURS")).otherwise(odate).alias("billdate"),
+        F.when((F.col("l_linenumber") == 6) & (F.col("copy") == 2), read_on + F.expr("INTERVAL 3 HOURS")).otherwise(read_on).alias("billdate"),
         F.lit(0).alias("hasblocks"),
         F.lit(30).alias("numberofdays"),
         odate.alias("fromdate"),
@@ -88,22 +92,25 @@ def standin_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(F.col("l_suppkey") % 2 == 0, F.col("l_shipdate") + F.expr("INTERVAL 12 HOURS"))
         .otherwise(F.col("l_shipdate"))
         .alias("presentreaddate"),
-        F.col("l_quantity").cast(DEC).alias("consumption"),
+        (F.col("l_quantity") * F.col("copy")).cast(DEC).alias("consumption"),
         F.col("l_extendedprice").cast(DEC).alias("billingamount"),
         F.when(F.col("o_orderstatus") == "F", 7).otherwise(2).alias("transactioncode"),
     )
 
-    wacm = customer.select(
+    # every seventh account has a second premise, every eleventh customer is listed twice
+    seats = F.when(F.col("c_custkey") % 7 == 0, F.sequence(F.lit(1), F.lit(2))).otherwise(F.sequence(F.lit(1), F.lit(1)))
+    wacm = customer.withColumn("seat", F.explode(seats)).select(
         F.col("c_custkey").alias("wacm_cust"),
-        F.lit(1).alias("wacm_address_seq_no"),
+        F.col("seat").alias("wacm_address_seq_no"),
         F.col("c_nationkey").alias("wacm_occupant_cis_no"),
-        F.expr("c_custkey div 300").alias("wacm_premise_no"),
+        F.expr("c_custkey div 300 + seat - 1").alias("wacm_premise_no"),
         F.col("c_custkey").alias("wacm_ref_acct"),
         F.lit(1).alias("wacm_no_units"),
     )
-    wcm = customer.select(
+    listed = F.when(F.col("c_custkey") % 11 == 0, F.sequence(F.lit(0), F.lit(1))).otherwise(F.sequence(F.lit(0), F.lit(0)))
+    wcm = customer.withColumn("listing", F.explode(listed)).select(
         F.col("c_custkey").alias("customernumber"),
-        F.col("c_nationkey").alias("cisnumberofbilledaccount"),
+        (F.col("c_nationkey") + F.col("listing") * 100).alias("cisnumberofbilledaccount"),
         F.expr("c_custkey div 300").alias("premisenumber"),
     )
     register = part.select(
