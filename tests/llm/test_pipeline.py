@@ -4,8 +4,8 @@ import pytest
 
 import corpus_pipeline
 from aqualedger.llm import simhash
-from tests.llm.test_lines import brute as brute_lines
-from tests.llm.test_simhash import brute_components
+from test_lines import brute as brute_lines
+from test_simhash import brute_components
 
 SF = "/root/testdata/sf0.001"
 
