@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import CLASS_TYPE_SALES, TYPE_ITEM_RECORD, TYPE_TOTAL_BILLING, item_service_size
 from ..functions.datekeys import date_key, in_months, mdy_key, whole_days
 
+CHARGES = "decimal(28,4)"  # type of a sum of amounts
 ITEM_GROUP_KEYS = [
     "cihis_cust",
     "cihis_date",
@@ -49,6 +50,13 @@ def billing_periods(histv: DataFrame, start_key: int | None = None, end_key: int
     )
 
 
+def period_copies(histv: DataFrame, start_key: int | None = None, end_key: int | None = None) -> DataFrame:
+    """Distinct billing periods of a customer and bill date, each with the number of its
+    total billing records: repeated records of a period are one row of a join."""
+    tbr = billing_periods(histv, start_key, end_key)
+    return tbr.groupBy(*tbr.columns).agg(F.count(F.lit(1)).alias("tbr_copies"))
+
+
 def _with_service_dates(hv: DataFrame, items: DataFrame) -> DataFrame:
     cbi = items.select("customernumber", "servicenumber", "dateiteminstalled", "itemremovaldate")
     return hv.join(
@@ -58,11 +66,9 @@ def _with_service_dates(hv: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def _with_billing_period(
-    hv: DataFrame, histv: DataFrame, start_key: int | None = None, end_key: int | None = None
-) -> DataFrame:
+def _with_billing_period(hv: DataFrame, periods: DataFrame) -> DataFrame:
     return hv.join(
-        billing_periods(histv, start_key, end_key),
+        periods,
         (F.col("tbr_cust") == F.col("cihis_cust")) & (F.col("tbr_date") == F.col("cihis_date")),
         "left",
     )
@@ -84,7 +90,7 @@ def item_service_dates(histv: DataFrame, items: DataFrame) -> DataFrame:
 def item_with_billing_period(histv: DataFrame, strict: bool = True) -> DataFrame:
     """Item records with their own period and the total billing record's period.
     The same table is read in two roles, each with its own code filter."""
-    j = _with_billing_period(item_records(histv), histv)
+    j = _with_billing_period(item_records(histv), billing_periods(histv))
     return j.select(
         "cihis_cust",
         "cihis_date",
@@ -110,11 +116,12 @@ def billable_items(
 
     Every grouping key stays, including ``efd``/``edt`` that later steps drop: two
     billing periods on one bill split the charges into two groups.  Several type-95
-    records with the same period multiply the item rows inside the sum, as written.
+    records with the same period multiply the item's charge inside the sum, as written;
+    they are counted before the join, so they multiply no rows.
     ``sorted`` orders the output by the group keys (ascending, NULLs last).
     """
     hv = item_records(histv, start_key, end_key)
-    j = _with_billing_period(_with_service_dates(hv, items), histv, start_key, end_key)
+    j = _with_billing_period(_with_service_dates(hv, items), period_copies(histv, start_key, end_key))
     derived = j.select(
         "cihis_cust",
         "cihis_date",
@@ -129,9 +136,9 @@ def billable_items(
         mdy_key("cihis_to_date", strict).alias("todate"),
         mdy_key("tbr_from_date", strict).alias("efd"),
         mdy_key("tbr_to_date", strict).alias("edt"),
-        "cihis_amt",
+        (F.col("cihis_amt") * F.coalesce("tbr_copies", F.lit(1)).cast("decimal(19,0)")).alias("charge"),
     )
-    out = derived.groupBy(*ITEM_GROUP_KEYS).agg(F.sum("cihis_amt").alias("totalcharges"))
+    out = derived.groupBy(*ITEM_GROUP_KEYS).agg(F.sum("charge").cast(CHARGES).alias("totalcharges"))
     return out.orderBy(*[F.asc_nulls_last(k) for k in ITEM_GROUP_KEYS]) if sorted else out
 
 

@@ -8,7 +8,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings this library's plans rely on.  AQE re-plans joins from runtime sizes
-# (broadcast only what is measured small, coalesce small partitions, split skewed ones).
+# (broadcast only what is measured small, coalesce small partitions, split skewed ones;
+# forced, it splits a skewed join also where an aggregate above shares its partitioning, at
+# the price of one more shuffle there, and only when a partition is measured to be skewed).
 # The runtime bloom filter can prune the block scan to the month's headers before its
 # shuffle when Spark's size estimates allow it; month-partitioned landing
 # (sinks.land_blocks_by_month) turns that into a partition filter in every case.
@@ -16,6 +18,7 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }

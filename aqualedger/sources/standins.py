@@ -147,11 +147,13 @@ def standin_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     ratemaster = part.select(
         F.col("p_partkey").alias("ratemasterid"),
-        (F.col("p_size") % 3).alias("ratekindid"),
-        # the first 300 parts carry the coded rates; each other part has a rate of its own
-        F.when(F.col("p_partkey") > 300, 10000 + F.col("p_partkey"))
-        .when(F.col("p_partkey") % 10 == 0, 2496 + F.col("p_size") % 10)
-        .otherwise(F.col("p_partkey") % 300)
+        F.when(F.col("p_partkey") <= 600, F.col("p_partkey") % 2 * 2).otherwise(F.col("p_partkey") % 3).alias("ratekindid"),
+        # the first 900 parts carry the coded rates, up to 300 of them under both kinds;
+        # each other part has a rate of its own
+        F.when(F.col("p_partkey") <= 600, F.expr("p_partkey div 2"))
+        .when(F.col("p_partkey") > 900, 10000 + F.col("p_partkey"))
+        .when(F.col("p_partkey") % 10 == 9, F.expr("2496 + p_partkey div 30 % 10"))
+        .otherwise(F.col("p_partkey"))
         .alias("rate"),
         F.col("p_name").alias("description"),
         F.when(F.col("p_partkey") % 4 == 0, 1).otherwise(3).alias("application"),

@@ -5,6 +5,7 @@ Usage: python tests/oracle_check.py [sf_dir] [key ...]
 
 from __future__ import annotations
 
+import glob
 import math
 import os
 import sys
@@ -17,13 +18,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry  # noqa: E402
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-
-
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    for path in sorted(glob.glob(f"{sf_dir}/*.parquet")):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
     return con
 
 

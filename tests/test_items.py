@@ -66,3 +66,43 @@ def test_sorted_output_nulls_last(tables):  # O2
 def test_repeated_billing_periods_diagnostic(tables):  # Q8
     t = tables(fcihistv=[_item(), _period(3012021, 3312021), _period(3012021, 3312021), _period(2012021, 2282021)])
     assert rows(items.repeated_billing_periods(t.fcihistv), "cihis_from_date", "copies") == [(3012021, 2)]
+
+
+def test_repeated_periods_multiply_no_rows(spark, tables):
+    """One customer and day: 2,000 items under 500 records of one period sum as written, but
+    the join hands on 2,000 rows."""
+    period = [_period(3012021, 3312021)] * 500
+    t = tables(fcihistv=[_item(cihis_service=i) for i in range(2000)] + period)
+    out = items.billable_items(t.fcihistv, t.cibillableitem)
+    assert rows(out.groupBy("totalcharges", "efd").count(), "totalcharges", "efd", "count") == [(D(2500), 20210301, 2000)]
+    joined = items._with_billing_period(items.item_records(t.fcihistv), items.period_copies(t.fcihistv))
+    assert joined.count() == 2000
+
+
+def test_hot_customer_day_is_split(spark, tables):
+    """A hot (customer, bill date) under an aggregate on the same keys: the final plan splits
+    the join, as the forced setting asks, and the sums stay right."""
+    t = tables(
+        fcihistv=[_item(cihis_service=i, cihis_cust=1) for i in range(8000)]
+        + [_item(cihis_cust=c) for c in range(2, 200)]
+        + [_period(3012021, 3312021), _period(2012021, 2282021)],
+    )
+    histv = t.fcihistv.repartition(8)  # many map tasks: a skewed partition is split by them
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        out = items.billable_items(histv, t.cibillableitem)
+        got = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(got) == 2 * 8000 + 198 and {r.totalcharges for r in got} == {D(5)}
+    assert "skew=true" in plan
