@@ -47,3 +47,38 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+EXTRA = ["id", "tag", "fp", "n_lines", "gone_id", "bad_id", "mix_slot", "rank", "bin", "n_words"]
+
+
+def odd_documents(spark):
+    """Nulls in every column, empty and very long texts, repeated rows, ties, copies, and
+    extra columns with names that the operators use themselves."""
+    texts = [None, "", "\n\n", "\u00e9" * 300_000, "one line of shared text\nown", "one line of shared text\nother", "word " * 60_000, "same", "same"]
+    rows = [(900_000 + i, t, "en", "s", len(t) if t is not None else None) for i, t in enumerate(texts)]
+    rows += [rows[4], rows[4], (None, "no id at all, twice", "en", "s", 19), (None, "no id at all, twice", "en", "s", 19), (None, None, None, None, None)]
+    rows += [(900_100, "text without a source", None, None, None)]
+    rows += [(910_000 + i, "a large group of copies of a text that is long enough", "en", "hot", 53) for i in range(300)]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = spark.createDataFrame(rows, docs.schema)
+    return docs.unionByName(odd).selectExpr("*", *[f"'x' AS {c}" for c in EXTRA]).repartition(5)
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark)
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        out.append(corpus_pipeline.materialize(stage(spark, out[-1], SF), name))
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out[-1].dtypes == docs.dtypes, name
+    raw, mild, cut, one, mixed, packed = (df.collect() for df in out)
+    assert sum(r.doc_id is None for r in raw) == sum(r.doc_id is None for r in packed) == 3  # rows without an id stay
+    want = {i: t for i, t, *_ in brute_lines([(r.doc_id, r.text) for r in mild if r.doc_id is not None])}
+    assert len(mild) == len(cut)
+    assert all((r.text or "") == (want[r.doc_id] or "") for r in cut if r.doc_id is not None)
+    ids = [r.doc_id for r in cut]
+    smallest = set(brute_components(ids, [simhash.fingerprint(r.text) for r in cut]))
+    assert sorted(str(r.doc_id) for r in one) == sorted(str(i) for i in ids if i is None or i in smallest)
+    assert sorted(map(str, mixed)) == sorted(map(str, one)) and len(packed) == len(one)
+    assert {r.doc_id for r in packed} == {r.doc_id for r in one}
