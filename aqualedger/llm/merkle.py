@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 
 from .util import materialize, order_id
 
+COPIES_AT_ONCE = 65536
 
 def warc_payload(url: str = "url", html: str = "html") -> Column:
     """A response record's block as UTF-8 bytes: null fields count as empty."""
@@ -27,15 +28,30 @@ def warc_payload(url: str = "url", html: str = "html") -> Column:
 def warc_records(pages: DataFrame, pages_per_file: int = 1024, id_col: str = "page_id") -> DataFrame:
     """(page_id, file, offset, length, digest): pages as WARC records, ``pages_per_file`` ids to a
     file, in order of page_id.  Pages with a null id form the last file.  Rows that repeat an id
-    follow each other by digest, so equal rows are interchangeable."""
+    follow each other by digest; equal rows are counted first and laid end to end.
+
+    Offsets are sums of two parts: where the records of an id and leading digest digits begin,
+    from one row for each of these in a file, and the place among them.  So an id, or the null
+    ids, may hold any share of the rows without one task seeing them all."""
     payload = warc_payload()
     rows = pages.select(
-        F.col(id_col).cast("long").alias("page_id"), F.floor(order_id(id_col) / pages_per_file).cast("long").alias("file"),
+        F.col(id_col).cast("long").alias("page_id"), order_id(id_col).alias("id"),
         F.octet_length(payload).cast("long").alias("length"), F.sha2(payload, 256).alias("digest"),
-    )
-    order = W.partitionBy("file").orderBy(order_id("page_id"), "digest")
-    end = F.sum("length").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
-    return rows.select("page_id", "file", (end - F.col("length")).alias("offset"), "length", "digest")
+    ).groupBy("page_id", "id", "length", "digest").agg(F.count("*").alias("n"))
+    rows = rows.withColumn("lead", F.substring("digest", 1, 3)).withColumn("size", F.col("length") * F.col("n"))
+
+    def before(keys: list[str], order: list[str]) -> Column:
+        window = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+        return F.sum("size").over(window) - F.col("size")
+
+    file = F.floor(F.col("id") / pages_per_file).cast("long")
+    heads = rows.groupBy("id", "lead").agg(F.sum("size").alias("size")).withColumn("file", file)
+    heads = heads.select("id", "lead", "file", before(["file"], ["id", "lead"]).alias("head"))
+    placed = rows.join(heads, ["id", "lead"]).withColumn("start", F.col("head") + before(["id", "lead"], ["digest", "page_id"]))
+    # copies in two steps, so that no array grows with their number
+    each = placed.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES_AT_ONCE).cast("long"))))
+    each = each.withColumn("copy", F.explode(F.sequence("lo", F.least(F.col("lo") + COPIES_AT_ONCE, F.col("n")) - 1)))
+    return each.select("page_id", "file", (F.col("start") + F.col("copy") * F.col("length")).alias("offset"), "length", "digest")
 
 
 def _hashed(items: Column) -> Column:

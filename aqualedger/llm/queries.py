@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact, knn, langid, licenses, lines, merkle, mixing, packing, simhash, toxicity
-from .util import table
+from .util import materialize, table
 
 
 def op1_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit of the pages' WARC records against a replica derived from them, in which some
     records have rotted (first letter overwritten) and some are missing."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    good = merkle.warc_records(pages)
+    good = materialize(merkle.warc_records(pages), "warc-records")
     rotten = F.octet_length("html") % 97 == 5
     html = F.when(rotten, F.concat(F.lit("~"), F.substring("html", 2, 2**31 - 1))).otherwise(F.col("html"))
     payload = merkle.warc_payload(html="rotted")
@@ -23,7 +23,7 @@ def op1_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     copy = copy.select("page_id", F.sha2(merkle.warc_payload(), 256).alias("digest"), F.octet_length(payload).cast("long").alias("copied"), F.sha2(payload, 256).alias("copy_digest"))
     # the copy's records lie where the originals do
     replica = good.join(copy.distinct(), ["page_id", "digest"]).select("file", "offset", F.col("copied").alias("length"), F.col("copy_digest").alias("digest"))
-    return merkle.audit(good, replica)
+    return merkle.audit(good, materialize(replica, "warc-replica"))
 
 
 def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,3 +49,18 @@ def test_empty_replicas(spark):
     a, none = records(spark, PAGES[:3]), records(spark, [])
     assert merkle.audit(none, none).count() == 0
     assert {r.kind for r in merkle.audit(a, none).collect()} == {"missing"} and {r.kind for r in merkle.audit(none, a).collect()} == {"extra"}
+
+
+def test_hot_and_null_ids(spark, monkeypatch):
+    """A third of the rows without an id, a third under one id, many of them equal: records
+    still lie end to end, each row once, in order of id and digest."""
+    monkeypatch.setattr(merkle, "COPIES_AT_ONCE", 7)
+    pages = [(None, "u", f"{i % 60}") for i in range(100)] + [(5, "u", "twin" if i % 2 else f"{i}") for i in range(100)] + [(i, "v", "") for i in range(100)]
+    rows = records(spark, pages).collect()
+    assert len(rows) == len(pages) and sum(r.page_id is None for r in rows) == 100
+    for file in {r.file for r in rows}:
+        own = sorted(rows, key=lambda r: r.offset)
+        own = [r for r in own if r.file == file]
+        assert own[0].offset == 0 and all(a.offset + a.length == b.offset for a, b in zip(own, own[1:]))
+        keys = [(2**63 - 1 if r.page_id is None else r.page_id, r.digest) for r in own]
+        assert keys == sorted(keys)
