@@ -20,6 +20,7 @@ from ..functions.datekeys import date_key, elapsed_days, mdy_key, whole_days
 from ..functions.text import trim_to_null
 from ..operators import bill_lines as bl
 from ..operators import blocks, items, rates, transactions, usage
+from ..operators.ordering import with_position
 from ..sources.landing import BillingTables
 from ..sources.standins import standin_tables
 
@@ -54,6 +55,27 @@ def _headers_all(t: BillingTables) -> DataFrame:
     return bl.bill_headers(t.fcihistf, t.wawatercustomermaster)
 
 
+def _items_in_order(t: BillingTables) -> DataFrame:
+    """The place of each group of flat-rate items in its 13-key order."""
+    groups = items.billable_items(t.fcihistv, t.cibillableitem).select(*items.ITEM_GROUP_KEYS)
+    return with_position(groups, items.ITEM_GROUP_KEYS, {"custs": F.expr("cihis_cust div 1000"), "cust": F.col("cihis_cust")})
+
+
+def _usage_in_order(t: BillingTables) -> DataFrame:
+    """The place of each group of meter readings in its 12-key order (raw bill time)."""
+    groups = usage.total_usage(t.ciconsumptionhist, t.wawatercustomermaster, t.fciregister, keep_raw_billdate=True)
+    return with_position(
+        groups.select(*usage.USAGE_GROUP_KEYS), usage.USAGE_GROUP_KEYS,
+        {"accounts": F.expr("accountnumber div 1000"), "account": F.col("accountnumber")},
+    )
+
+
+def _rates_in_order(t: BillingTables) -> DataFrame:
+    """The place of each rate-class row by rate kind and rate; ties by the other columns."""
+    rows = rates.rate_class(t.ciratemaster, t.ciratekind, t.ciratedetail, t.ciitemratedetail, t.ciitemcode, t.cisteprate)
+    return with_position(rows, ["ratekindid", "rate"], {"kind": F.col("ratekindid"), "code": F.col("rate")})
+
+
 BUILDERS: dict[str, Callable[[BillingTables], DataFrame]] = {
     # --- scalar functions -------------------------------------------------------------
     "date_to_key": lambda t: t.ciconsumptionhist.select(
@@ -145,6 +167,10 @@ BUILDERS: dict[str, Callable[[BillingTables], DataFrame]] = {
         t.ciratemaster, t.ciratekind, t.ciratedetail, t.ciitemratedetail, t.ciitemcode, t.cisteprate
     ),
     "transactions_with_rate_class": lambda t: transactions.transactions(t, *WINDOW, with_rate_class=True),
+    # --- sorted outputs, as the place of each row -----------------------------------------
+    "rate_class_order": _rates_in_order,
+    "billable_items_order": _items_in_order,
+    "total_usage_order": _usage_in_order,
 }
 
 

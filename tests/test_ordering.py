@@ -1,0 +1,41 @@
+"""Places in a global order (O1-O3), built from counted heads instead of one sort task."""
+
+from __future__ import annotations
+
+import random
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from aqualedger.operators import items, rates
+from aqualedger.operators.ordering import with_position
+from aqualedger.plans import catalog
+from aqualedger.sources.standins import standin_tables
+
+SF = "/root/testdata/sf0.001"
+
+
+def _last(row):
+    return tuple((v is None, v if v is not None else 0) for v in row)
+
+
+def test_positions_with_nulls_ties_and_a_hot_key(spark):
+    rng = random.Random(3)
+    data = [(rng.choice([None, 7, 7, 7, rng.randint(-30, 5000)]), rng.choice([None, rng.randint(0, 3)]), rng.randint(0, 2)) for _ in range(600)]
+    df = spark.createDataFrame(data, "a long, b int, c int").repartition(5)
+    got = with_position(df, ["a", "b"], {"tens": F.expr("a div 10"), "own": F.col("a")})
+    assert got.columns == ["a", "b", "c", "position"]
+    assert [tuple(r)[:3] for r in sorted(got.collect(), key=lambda r: r.position)] == sorted(data, key=_last)
+    assert sorted(r.position for r in got.collect()) == list(range(1, 601))
+    assert with_position(df.limit(0), ["a", "b"], {"own": F.col("a")}).count() == 0
+
+
+def test_positions_follow_the_sorted_outputs(spark):
+    t = standin_tables(spark, SF)
+    out = [tuple(r[k] for k in items.ITEM_GROUP_KEYS) for r in items.billable_items(t.fcihistv, t.cibillableitem, sorted=True).collect()]
+    place = catalog.BUILDERS["billable_items_order"](t)
+    assert [tuple(r)[:-1] for r in sorted(place.collect(), key=lambda r: r.position)] == out
+    by_rate = rates.rate_class(t.ciratemaster, t.ciratekind, t.ciratedetail, t.ciitemratedetail, t.ciitemcode, t.cisteprate, sorted=True).collect()
+    place = sorted(catalog.BUILDERS["rate_class_order"](t).collect(), key=lambda r: r.position)
+    assert [(r.ratekindid, r.rate) for r in place] == [(r.ratekindid, r.rate) for r in by_rate]
+    assert len(rows(catalog.BUILDERS["total_usage_order"](t), "position")) > 0

@@ -81,6 +81,28 @@ def test_month_partitions_pruned(spark, tables, tmp_path):
     month_scans = [s for s in checks.scans(out) if "bill_month" in s["partition_filters"]]
     assert len(month_scans) >= 4, scans
     assert all("202103" in s["partition_filters"] for s in month_scans)
+    lines = transactions.bill_lines_in_window(landed, 20210301, 20210331)  # the plan of bill_date_range
+    history = [s for s in checks.scans(lines) if any(f"/{n}]" in s["location"] for n in ("fcihistv", "fcihistf", "ciconsumptionhist"))]
+    assert len(history) >= 4
+    for s in history:
+        assert "202103" in s["partition_filters"], s
+        assert any(f"GreaterThanOrEqual({c},2021" in s["pushed_filters"] for c in ("cihis_date", "billdate")), s
     got = sorted(tuple(r) for r in out.drop("dys").collect())
     want = sorted(tuple(r) for r in transactions.transactions(t, 20210301, 20210331).drop("dys").collect())
     assert got == want and len(got) == 1 and got[0][-16] == D(1)
+
+
+def test_final_plan_shares_headers_and_scans(spark):
+    """Executed plans: both branches of the union read the billing records once, and the
+    latest rate details take three reads of the details."""
+    from aqualedger.plans import catalog
+
+    def final(df) -> str:
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+    lines = final(catalog.queries()["bill_lines_union"](spark, "/root/testdata/sf0.01"))
+    headers = [x for x in lines.splitlines() if "FileScan" in x and "o_orderpriority" in x]
+    assert len(headers) == 2, headers  # one for the billing records, one for the billable items
+    rates = final(catalog.queries()["rate_class"](spark, "/root/testdata/sf0.01"))
+    assert sum("FileScan" in x and "l_partkey" in x for x in rates.splitlines()) <= 3
