@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .util import materialize, order_id
+from .util import each_copy, materialize, order_id
 
 COPIES_AT_ONCE = 65536
 
+
 def warc_payload(url: str = "url", html: str = "html") -> Column:
     """A response record's block as UTF-8 bytes: null fields count as empty."""
     uri, body = F.coalesce(F.col(url), F.lit("")), F.coalesce(F.col(html), F.lit(""))
@@ -48,10 +49,7 @@ def warc_records(pages: DataFrame, pages_per_file: int = 1024, id_col: str = "pa
     heads = rows.groupBy("id", "lead").agg(F.sum("size").alias("size")).withColumn("file", file)
     heads = heads.select("id", "lead", "file", before(["file"], ["id", "lead"]).alias("head"))
     placed = rows.join(heads, ["id", "lead"]).withColumn("start", F.col("head") + before(["id", "lead"], ["digest", "page_id"]))
-    # copies in two steps, so that no array grows with their number
-    each = placed.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES_AT_ONCE).cast("long"))))
-    each = each.withColumn("copy", F.explode(F.sequence("lo", F.least(F.col("lo") + COPIES_AT_ONCE, F.col("n")) - 1)))
-    return each.select("page_id", "file", (F.col("start") + F.col("copy") * F.col("length")).alias("offset"), "length", "digest")
+    return each_copy(placed, "n", "copy", COPIES_AT_ONCE).select("page_id", "file", (F.col("start") + F.col("copy") * F.col("length")).alias("offset"), "length", "digest")
 
 
 def _hashed(items: Column) -> Column:

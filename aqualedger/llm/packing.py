@@ -1,6 +1,7 @@
 """Conflict-constrained best-fit packing of documents into bins of fixed capacity.
 
-Documents are dealt by hash into packing groups of bounded size.  Within a group they are
+Documents are dealt by hash into packing groups of bounded size; equal rows are counted and
+dealt one by one.  Within a group they are
 packed longest first.  Bins are kept in order of their residual capacity and carry bitmaps
 of the duplicate clusters and of the sources they hold; a document starts at the smallest
 residual that takes it and goes on to the next larger one until a bin is compatible.
@@ -16,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .util import ascii_lower, materialize, order_id, whole_text
+from .util import ascii_lower, each_copy, materialize, order_id, whole_text
 
 
 class Bins:
@@ -86,19 +87,21 @@ def best_fit(
     two documents of one cluster, nor more than ``per_source`` of one source.  Null sources and
     null clusters conflict with nothing; null texts count as empty and every text has at least
     one word.  Repeated rows share a cluster, so each gets a bin of its own.  Groups hold
-    about ``group_rows`` rows, dealt by hash, however large a source or cluster is."""
+    about ``group_rows`` rows, dealt by hash and, among equal rows, by their number, however
+    large a source, a cluster or a set of equal rows is."""
     n_words = size if size is not None else word_count(text_col)
     mark = cluster if cluster is not None else text_cluster(text_col)
     rows = materialize(
         docs.select(
             F.col(id_col).cast("long").alias("doc_id"), order_id(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
             n_words.alias("n_words"), mark.alias("cluster"), F.xxhash64(whole_text(text_col)).alias("tag"),
-        ), "pack-rows",
+        ).groupBy("doc_id", "id", "source", "n_words", "cluster", "tag").agg(F.count("*").alias("copies")), "pack-rows",
     )
-    groups = max(1, -(-rows.count() // group_rows))
+    groups = max(1, -(-(rows.agg(F.sum("copies")).first()[0] or 0) // group_rows))
+    rows = each_copy(rows, "copies", "copy")
     rest = F.pmod(F.col("n_words"), F.lit(capacity))
     rows = rows.withColumn("full_bins", (F.col("n_words") - rest) / capacity).withColumn("bin_words", rest)
-    rows = rows.withColumn("full_bins", F.col("full_bins").cast("long")).withColumn("bin_group", F.pmod(F.xxhash64("id", "tag", "source"), F.lit(groups)))
+    rows = rows.withColumn("full_bins", F.col("full_bins").cast("long")).withColumn("bin_group", F.pmod(F.xxhash64("id", "tag", "source", "copy"), F.lit(groups)))
     schema = "doc_id long, source string, n_words long, full_bins long, bin_group long, bin long, bin_words long"
     whole = rows.where("bin_words = 0").select("doc_id", "source", "n_words", "full_bins", "bin_group", F.lit(None).cast("long").alias("bin"), "bin_words")
 

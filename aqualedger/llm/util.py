@@ -51,6 +51,13 @@ def order_id(c: str = "doc_id") -> Column:
     return F.coalesce(F.col(c).cast("long"), F.lit(LAST_ID))
 
 
+def each_copy(rows: DataFrame, n: str, copy: str, at_once: int = 65536) -> DataFrame:
+    """Every row ``n`` times, numbered from 0 in ``copy``; in two steps, so that no array grows
+    with the number of copies."""
+    starts = rows.withColumn(copy, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(at_once).cast("long"))))
+    return starts.withColumn(copy, F.explode(F.sequence(F.col(copy), F.least(F.col(copy) + at_once, F.col(n)) - 1)))
+
+
 def fresh(names: list[str], *wanted: str) -> list[str]:
     """Column names that clash with none of ``names`` (compared without case)."""
     taken = {n.lower() for n in names}

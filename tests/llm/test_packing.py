@@ -57,5 +57,15 @@ def test_bins_hold_and_conflict_free(spark):
         assert max(Counter(r.source for r in held if r.source).values(), default=0) <= 3
 
 
+def test_equal_rows_spread_over_groups(spark):
+    rows = [(None, "the same words", "hot")] * 600 + [(i, f"text {i}", "s") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = packing.best_fit(df, capacity=200, group_rows=100).collect()
+    assert len(out) == 1000 and sum(r.doc_id is None for r in out) == 600
+    assert max(Counter(r.bin_group for r in out).values()) < 200
+    copies = [(r.bin_group, r.bin) for r in out if r.doc_id is None]
+    assert len(set(copies)) == 600
+
+
 def test_empty_table(spark):
     assert packing.best_fit(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
