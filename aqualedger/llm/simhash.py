@@ -11,17 +11,17 @@ writing 2081 rows per fingerprint."""
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components, local_forest
-from .util import fresh, materialize, order_id
+from .util import fresh, materialize, order_id, whole_text
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -48,17 +48,20 @@ def fingerprint(text: str | None, shingle_words: int = 4) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long): the fingerprint of every whole text, as a signed long."""
+def fingerprints(docs: DataFrame, shingle_words: int = 4, id_col: str = "doc_id", text_col: str = "text", more: Mapping[str, Column] | None = None) -> DataFrame:
+    """(doc_id, fp long): the fingerprint of every whole text, as a signed long; and ``more``
+    longs by name."""
+    more = more or {}
+    kept = list(more)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             fp = np.array([fingerprint(t, shingle_words) for t in pdf["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"id": pdf["id"], "null_id": pdf["null_id"], "fp": fp.view(np.int64)})
+            yield pd.DataFrame({"id": pdf["id"], "null_id": pdf["null_id"], "fp": fp.view(np.int64)} | {c: pdf[c] for c in kept})
 
-    src = docs.select(order_id(id_col).alias("id"), F.col(id_col).isNull().alias("null_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInPandas(run, "id long, null_id boolean, fp long").select(
-        F.when(~F.col("null_id"), F.col("id")).alias("doc_id"), "fp"
+    src = docs.select(order_id(id_col).alias("id"), F.col(id_col).isNull().alias("null_id"), F.col(text_col).cast("string").alias("text"), *[x.alias(c) for c, x in more.items()])
+    return src.mapInPandas(run, ", ".join(["id long, null_id boolean, fp long", *(f"{c} long" for c in more)])).select(
+        F.when(~F.col("null_id"), F.col("id")).alias("doc_id"), "fp", *more
     )
 
 
@@ -141,6 +144,17 @@ def near_links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
         dealt = _deal(fps, lead, radius).join(hot.withColumnRenamed("part", "hot_part"), parent == F.col("hot_part"), "left_semi")
 
 
+def _grouped(fps: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """``fps`` (doc_id, fp and others) written once, and the components of its fingerprints:
+    (fp, first_id, root)."""
+    rows = materialize(fps, "simhash-fp")
+    distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
+    roots = connected_components(near_links(distinct.select("fp"), max_bits))
+    return rows, distinct.join(roots, distinct.fp == roots.node, "left").select(
+        "fp", "first_id", F.coalesce("component", "fp").alias("root")
+    )
+
+
 def simhash_components(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: (doc_id, fp long, component_id), the smallest doc_id
     reachable over fingerprints at most ``max_bits`` apart.
@@ -148,12 +162,7 @@ def simhash_components(docs: DataFrame, shingle_words: int = 4, max_bits: int =
     Null texts count as empty; texts without words have fingerprint 0 and link like any
     other.  A null doc_id is returned as null and never names a component unless the whole
     component has null ids.  Repeated rows stay repeated; other columns are not read."""
-    rows = materialize(fingerprints(docs, shingle_words, id_col, text_col), "simhash-fp")
-    distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    roots = connected_components(near_links(distinct.select("fp"), max_bits))
-    placed = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("root")
-    )
+    rows, placed = _grouped(fingerprints(docs, shingle_words, id_col, text_col), max_bits)
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = placed.select("fp", "root", F.xxhash64("root").alias("k")).join(
         least.withColumn("k", F.xxhash64("root")), ["root", "k"]
@@ -164,10 +173,20 @@ def simhash_components(docs: DataFrame, shingle_words: int = 4, max_bits: int =
 
 
 def near_dedup(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, with all their columns.
-    Rows that repeat such a doc_id stay with it; rows without a doc_id cannot be told apart
-    and all stay."""
-    (gone_id,) = fresh(docs.columns, "gone_id")
-    found = simhash_components(docs, shingle_words, max_bits)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(gone_id)).distinct()
-    return docs.join(gone, docs["doc_id"] == gone[gone_id], "left_anti")
+    """One row of ``docs`` for each component, with all its columns: the smallest doc_id (null
+    ids come last), among several texts or rows of that id the smallest hash."""
+    names = fresh(docs.columns, "own_id", "null_id", "tag", "whole_row")
+    own_id, null_id, tag, whole_row = names
+    hashes = {tag: F.xxhash64(whole_text("text")), whole_row: F.xxhash64(*docs.columns)}
+    rows, placed = _grouped(fingerprints(docs, shingle_words, more={"tag": hashes[tag], "whole_row": hashes[whole_row]}), max_bits)
+    # equal rows are counted, then the first of each fingerprint and component found: no task holds a whole group
+    copies = rows.groupBy("doc_id", "fp", "tag", "whole_row").agg(F.count("*").alias("copies"))
+    mark = F.struct(order_id("doc_id").alias(own_id), F.col("doc_id").isNull().alias(null_id), F.col("tag").alias(tag), F.col("whole_row").alias(whole_row), "copies")
+    least = copies.groupBy("fp").agg(F.min(mark).alias("m")).join(placed, "fp").groupBy("root").agg(F.min("m").alias("m")).select("m.*")
+    least = materialize(least, "simhash-kept")
+    keyed = docs.withColumns({own_id: order_id("doc_id"), null_id: F.col("doc_id").isNull(), **hashes})
+    kept = keyed.join(least.where("copies = 1").drop("copies"), names, "left_semi")
+    often = least.where("copies > 1").drop("copies")
+    if not often.isEmpty():  # only rows that repeat are sorted with their texts
+        kept = kept.unionByName(keyed.join(often, names, "left_semi").dropDuplicates(names))
+    return kept.select(*docs.columns)

@@ -227,7 +227,7 @@ def train(labelled: DataFrame, s: Settings) -> list[Model]:
 
 
 def compared(docs: DataFrame, models: list[Model], id_col: str, text_col: str) -> DataFrame:
-    """(id, null_id, FEATURES by the full models, FEATURES with suffix 2 by the models of the
+    """(id, null_id, tag, FEATURES by the full models, FEATURES with suffix 2 by the models of the
     fold that the text is not in), for every whole text."""
     spread = docs.sparkSession.sparkContext.broadcast(models)  # a few tables of at most 64^order rows
 
@@ -237,12 +237,12 @@ def compared(docs: DataFrame, models: list[Model], id_col: str, text_col: str) -
             found = score_texts(pdf["text"].tolist(), [full, *folds])
             other = np.where(_fold(pdf["text"]) == 0, found[2], found[1])
             yield pd.DataFrame(
-                {"id": pdf["id"], "null_id": pdf["null_id"]}
+                {"id": pdf["id"], "null_id": pdf["null_id"], "tag": pdf["tag"]}
                 | dict(zip(FEATURES, found[0])) | {f"{f}2": x for f, x in zip(FEATURES, other)}
             )
 
-    rows = docs.select(order_id(id_col).alias("id"), F.col(id_col).isNull().alias("null_id"), whole_text(text_col).alias("text"))
-    return rows.mapInPandas(run, "id long, null_id boolean, " + ", ".join(f"{f} double" for f in [*FEATURES, *(f"{f}2" for f in FEATURES)]))
+    rows = docs.select(order_id(id_col).alias("id"), F.col(id_col).isNull().alias("null_id"), F.xxhash64(whole_text(text_col)).alias("tag"), whole_text(text_col).alias("text"))
+    return rows.mapInPandas(run, "id long, null_id boolean, tag long, " + ", ".join(f"{f} double" for f in [*FEATURES, *(f"{f}2" for f in FEATURES)]))
 
 
 def toxicity_scores(
@@ -254,6 +254,11 @@ def toxicity_scores(
     whose id is not held out.  Null and empty texts and texts without letters are scored by the
     intercept alone; a null doc_id is scored, never learnt from, and not held out.  Repeated
     rows are each scored; repeated label rows count once; other columns are not read."""
+    return judged_rows(docs, labels, s, id_col, text_col, label_col).select("doc_id", "held_out", "score", "predicted")
+
+
+def judged_rows(docs: DataFrame, labels: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """``toxicity_scores`` with the hash of the whole text, tag."""
     known = labels.where(F.col(label_col).isin(0, 1)).where(~held_out(id_col)).select(
         F.col(id_col).cast("long").alias("label_id"), F.col(label_col).cast("long").alias("toxic")
     ).distinct()
@@ -267,14 +272,15 @@ def toxicity_scores(
     z = F.lit(intercept)
     for f, w in zip(FEATURES, weights):
         z = z + F.col(f) * w
-    return rows.select(F.when(~F.col("null_id"), F.col("id")).alias("doc_id"), (1 / (1 + F.exp(-z))).alias("score")).select(
-        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return rows.select(F.when(~F.col("null_id"), F.col("id")).alias("doc_id"), "tag", (1 / (1 + F.exp(-z))).alias("score")).select(
+        "doc_id", "tag", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with all their columns; rows without a
-    doc_id stay."""
-    (bad,) = fresh(docs.columns, "bad_id")
-    gone = toxicity_scores(docs, labels, s).where("predicted = 1 and doc_id is not null").select(F.col("doc_id").alias(bad)).distinct()
-    return docs.join(gone, docs["doc_id"] == gone[bad], "left_anti")
+    """The rows of ``docs`` that are not predicted toxic, with all their columns.  Rows are told
+    apart by id (null is one, too) and text, so of several texts with one id only the toxic go."""
+    bad_id, bad_tag = fresh(docs.columns, "bad_id", "bad_tag")
+    gone = judged_rows(docs, labels, s).where("predicted = 1").select(F.col("doc_id").alias(bad_id), F.col("tag").alias(bad_tag)).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(bad_id)) & (F.xxhash64(whole_text("text")) == F.col(bad_tag))
+    return docs.join(gone, same, "left_anti")

@@ -121,3 +121,11 @@ def test_family_comes_first():
     family = np.array([s.families.get(v, v) for v in lang])
     own = {f: langid.Machines.fit(x[family == f], lang[family == f], s) for f in set(family)}
     assert sorted(own) == ["germanic", "romance", "slavic", "xx"] and own["romance"].names == ["es", "fr"]
+
+
+def test_toxic_rows_go_by_id_and_text(spark):
+    bad, good = "you are trash " * 20, "a calm day " * 20
+    docs = [(None, bad), (None, good), (1, bad), (1, good), (2, bad)] + [(i, ("you trash scum " if i % 3 == 0 else "calm mild day ") * 9 + str(i)) for i in range(20, 120)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(20, 120)], "doc_id long, toxic int")
+    kept = {(r.doc_id, r.text) for r in toxicity.drop_toxic(spark.createDataFrame(docs, "doc_id long, text string"), labels).collect()}
+    assert {(i, t) for i, t in kept if i is None or i < 20} == {(None, good), (1, good)}

@@ -146,3 +146,14 @@ def test_connected_components_chain_and_star(spark):
     df = spark.createDataFrame(chain + star + [(5, 5), (7, 200)], "u long, v long").repartition(8)
     got = {r.node: r.component for r in components.connected_components(df).collect()}
     assert got == {i: 100 for i in range(101, 161)} | {i: 7 for i in range(200, 400)}
+
+
+def test_one_row_of_each_component_stays(spark):
+    rows = [(None, "one text that has no id", "a"), (None, "one text that has no id", "a"), (None, "one text that has no id", "b")]
+    rows += [(None, None, "a"), (3, "", "a"), (3, "three and other words here", "a"), (3, "three and other words here", "b"), (4, "three and other words here", "a")]
+    rows += [(5, "five with words of its own", "a")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in simhash.near_dedup(df).collect()), key=str)
+    assert kept == sorted([(None, "one text that has no id"), (3, ""), (3, "three and other words here"), (5, "five with words of its own")], key=str)
+    first = sorted(map(str, simhash.near_dedup(df).collect()))
+    assert first == sorted(map(str, simhash.near_dedup(df.repartition(5)).collect()))
