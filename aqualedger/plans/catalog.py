@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import codes
@@ -58,22 +57,19 @@ def _headers_all(t: BillingTables) -> DataFrame:
 def _items_in_order(t: BillingTables) -> DataFrame:
     """The place of each group of flat-rate items in its 13-key order."""
     groups = items.billable_items(t.fcihistv, t.cibillableitem).select(*items.ITEM_GROUP_KEYS)
-    return with_position(groups, items.ITEM_GROUP_KEYS, {"custs": F.expr("cihis_cust div 1000"), "cust": F.col("cihis_cust")})
+    return with_position(groups, items.ITEM_GROUP_KEYS, unique=True)
 
 
 def _usage_in_order(t: BillingTables) -> DataFrame:
     """The place of each group of meter readings in its 12-key order (raw bill time)."""
     groups = usage.total_usage(t.ciconsumptionhist, t.wawatercustomermaster, t.fciregister, keep_raw_billdate=True)
-    return with_position(
-        groups.select(*usage.USAGE_GROUP_KEYS), usage.USAGE_GROUP_KEYS,
-        {"accounts": F.expr("accountnumber div 1000"), "account": F.col("accountnumber")},
-    )
+    return with_position(groups.select(*usage.USAGE_GROUP_KEYS), usage.USAGE_GROUP_KEYS, unique=True)
 
 
 def _rates_in_order(t: BillingTables) -> DataFrame:
     """The place of each rate-class row by rate kind and rate; ties by the other columns."""
     rows = rates.rate_class(t.ciratemaster, t.ciratekind, t.ciratedetail, t.ciitemratedetail, t.ciitemcode, t.cisteprate)
-    return with_position(rows, ["ratekindid", "rate"], {"kind": F.col("ratekindid"), "code": F.col("rate")})
+    return with_position(rows, ["ratekindid", "rate"])
 
 
 BUILDERS: dict[str, Callable[[BillingTables], DataFrame]] = {

@@ -4,8 +4,9 @@ nothing in the library creates one or sets global state."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings this library's plans rely on.  AQE re-plans joins from runtime sizes
 # (broadcast only what is measured small, coalesce small partitions, split skewed ones;
@@ -56,3 +57,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = configured or tempfile.mkdtemp(prefix="aqualedger-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: what follows sees one evaluation of
+    it, also when executors are lost."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,4 +1,4 @@
-"""Places in a global order (O1-O3), built from counted heads instead of one sort task."""
+"""Places in a global order (O1-O3), from sampled ranges and their sizes instead of one sort task."""
 
 from __future__ import annotations
 
@@ -23,11 +23,34 @@ def test_positions_with_nulls_ties_and_a_hot_key(spark):
     rng = random.Random(3)
     data = [(rng.choice([None, 7, 7, 7, rng.randint(-30, 5000)]), rng.choice([None, rng.randint(0, 3)]), rng.randint(0, 2)) for _ in range(600)]
     df = spark.createDataFrame(data, "a long, b int, c int").repartition(5)
-    got = with_position(df, ["a", "b"], {"tens": F.expr("a div 10"), "own": F.col("a")})
+    got = with_position(df, ["a", "b"])
     assert got.columns == ["a", "b", "c", "position"]
     assert [tuple(r)[:3] for r in sorted(got.collect(), key=lambda r: r.position)] == sorted(data, key=_last)
     assert sorted(r.position for r in got.collect()) == list(range(1, 601))
-    assert with_position(df.limit(0), ["a", "b"], {"own": F.col("a")}).count() == 0
+    assert with_position(df.limit(0), ["a", "b"]).count() == 0
+
+
+def test_descending_keys_put_nulls_last(spark):
+    df = spark.createDataFrame([(1, "x"), (None, "y"), (3, "z"), (3, "a")], "a int, b string")
+    got = with_position(df, ["a", "b"], "place", descending=("a",))
+    assert [r.b for r in sorted(got.collect(), key=lambda r: r.place)] == ["a", "z", "x", "y"]
+
+
+def test_equal_rows_spread_over_the_ranges(spark):
+    """One row repeated thousands of times does not land in one range, and no plan step sees all
+    rows in a single partition."""
+    df = spark.range(20000).selectExpr("cast(if(id % 3 > 0, 7, id) as long) as a").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # few rows would share one range
+    try:
+        got = with_position(df, ["a"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(r.position for r in got.collect()) == list(range(1, 20001))
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+    parts = got.where("a = 7").select(F.input_file_name().alias("f")).distinct().count()
+    assert parts >= 4
+    values = [r.a for r in sorted(got.collect(), key=lambda r: r.position)]
+    assert values == sorted(values)
 
 
 def test_positions_follow_the_sorted_outputs(spark):
