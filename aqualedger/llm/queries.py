@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, knn, langid, licenses, lines, merkle, mixing, packing, simhash, toxicity
+from . import exact, fim, importance, knn, langid, licenses, lines, merkle, minhash, mixing, packing, simhash, toxicity
 from .util import materialize, table
 
 
@@ -76,6 +76,26 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weights of all documents towards the benchmark, and the drawn 5 percent in order."""
+    scores = importance.importance_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=5)
+    return scores.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every document, with digests of the output and of the text rebuilt from it."""
+    cut = fim.fill_in_middle(table(spark, sf_dir, "documents"), seed=1)
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(fim.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash components of all documents: 4-word shingles, similarity of at least 0.8."""
+    return minhash.minhash_components(table(spark, sf_dir, "documents"), shingle_words=4, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_merkle_fixity": op1_merkle_fixity,
     "op2_best_fit": op2_best_fit,
@@ -87,9 +107,85 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_license_scan": op10_license_scan,
+    "op11_importance": op11_importance,
+    "op12_fim": op12_fim,
+    "op13_minhash": op13_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_importance": r"""
+WITH crc_table AS (
+  SELECT list(list_reduce([v] || range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY v) AS t
+  FROM range(256) r(v)),
+texts AS (
+  SELECT false AS aim, doc_id, text FROM documents UNION ALL SELECT true, NULL, text FROM benchmark),
+words AS (
+  SELECT aim, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts),
+grams AS (
+  SELECT aim, doc_id, unnest(list_transform(range(1, len(w) + 1), lambda i: w[i]) ||
+         list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ||
+         list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g
+  FROM words),
+counted AS (SELECT aim, doc_id, g, count(*) AS c FROM grams GROUP BY ALL),
+bytes AS (
+  SELECT g, list_transform(range(0, strlen(g)), lambda i: CAST('0x' || substr(hex(encode(g)), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)) AS b
+  FROM (SELECT DISTINCT g FROM counted)),
+hashed AS (
+  SELECT g, xor(list_reduce([4294967295] || b, lambda x, y: xor(x >> 8, t[1 + (xor(x, y) & 255)])), 4294967295) % 10000 AS bucket FROM bytes, crc_table),
+features AS (SELECT aim, doc_id, bucket, sum(c) AS c FROM counted JOIN hashed USING (g) GROUP BY ALL),
+seen AS (
+  SELECT bucket, CAST(coalesce(sum(c) FILTER (NOT aim), 0) AS DOUBLE) AS s, CAST(coalesce(sum(c) FILTER (aim), 0) AS DOUBLE) AS t FROM features GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000)))) AS BIGINT) AS gain FROM seen),
+weights AS (SELECT doc_id, CAST(sum(c) AS BIGINT) AS n_features, CAST(sum(c * gain) AS BIGINT) AS weight FROM features JOIN gains USING (bucket) WHERE NOT aim GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS enough,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM words LEFT JOIN weights USING (doc_id) WHERE NOT aim),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY enough ORDER BY score DESC, doc_id) AS place, count(*) FILTER (enough) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN enough AND place <= 5 * n // 100 THEN place END AS rank FROM placed
+""",
+    "op13_minhash": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) AS s
+  FROM words WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT u, v FROM common JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * c >= 80 * (x.n + y.n - c)),
+both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(doc_id, seen) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.doc_id, v FROM reach JOIN both_ways ON u = seen)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(seen) AS component_id, doc_id = min(seen) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+""",
+    "op12_fim": r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+heads AS (
+  SELECT doc_id, t, n, CAST('0x' || substr(d, 1, 8) AS BIGINT) % (n + 1) AS a, CAST('0x' || substr(d, 9, 8) AS BIGINT) % (n + 1) AS b,
+         CAST('0x' || substr(d, 17, 8) AS BIGINT) % 100 AS c, CAST('0x' || substr(d, 25, 8) AS BIGINT) % 100 AS s FROM drawn),
+cuts AS (
+  SELECT doc_id, t, n, least(a, b) AS i, greatest(a, b) AS j,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain'
+              WHEN s < 20 THEN 'spm' ELSE 'psm' END AS form FROM heads),
+parts AS (
+  SELECT *, substr(t, 1, i) AS prefix, substr(t, i + 1, j - i) AS middle, substr(t, j + 1) AS suffix FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN i END AS prefix_chars, CASE WHEN form <> 'plain' THEN j - i END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+""",
     "op1_merkle_fixity": r"""
 WITH parts AS (
   SELECT page_id, page_id // 1024 AS file,
