@@ -159,15 +159,14 @@ def importance_scores(
 def importance_resample(docs: DataFrame, target: DataFrame, **options) -> DataFrame:
     """The drawn rows of ``docs`` (columns id ``doc_id`` and ``text``), whole and with all their
     columns; of rows equal in id and text as many as were drawn.  See ``importance_scores``."""
-    own_id, null_id, tag = fresh(docs.columns, "own_id", "null_id", "tag")
+    own_id, null_id, tag, drawn, rows, copy_no = fresh(docs.columns, "own_id", "null_id", "tag", "drawn", "rows", "copy_no")
     own = {own_id: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), null_id: F.col("doc_id").isNull(), tag: F.xxhash64(whole_text("text").cast("string"))}
-    scores = importance_scores(docs, target, **options)
-    counts = scores.groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(own_id), F.col("doc_id").isNull().alias(null_id), F.col("tag").alias(tag))
-    counts = counts.agg(F.count("rank").alias("drawn"), F.count(F.lit(1)).alias("rows")).where("drawn > 0")
+    scores, key = importance_scores(docs, target, **options), [own_id, null_id, tag]
+    counts = scores.select(own[own_id].alias(own_id), own[null_id].alias(null_id), F.col("tag").alias(tag), "rank").groupBy(*key)
+    counts = counts.agg(F.count("rank").alias(drawn), F.count(F.lit(1)).alias(rows)).where(F.col(drawn) > 0)
     counts = materialize(counts, "importance-drawn")
-    keyed, key = docs.withColumns(own), [own_id, null_id, tag]
-    whole = keyed.join(counts.where("drawn = rows").select(*key), key, "left_semi").select(*docs.columns)
-    cut = counts.where("drawn < rows").select(*key, "drawn")  # the draw ends among these equal rows: one key at most
+    keyed = docs.withColumns(own)
+    whole = keyed.join(counts.where(F.col(drawn) == F.col(rows)).select(*key), key, "left_semi").select(*docs.columns)
+    cut = counts.where(F.col(drawn) < F.col(rows)).select(*key, drawn)  # the draw ends among these equal rows: one key at most
     part = keyed.join(cut.select(*key), key, "left_semi").dropDuplicates(key).join(cut, key)
-    names = fresh(part.columns, "copy_no")
-    return whole.unionByName(each_copy(part, "drawn", names[0]).select(*docs.columns))
+    return whole.unionByName(each_copy(part, drawn, copy_no).select(*docs.columns))

@@ -170,10 +170,9 @@ def _blocks(members: DataFrame, percent: int) -> DataFrame:
     return together.unionAll(apart.select("node", "component", "g", "s.*"))
 
 
-def linked_forest(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def linked_forest(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (node, smaller node) that connect exactly what chains of pairs with
-    100 |A and B| >= percent |A or B| connect, of pairs with a member of side 0 (where there are
-    two sides, of pairs across them)."""
+    100 |A and B| >= percent |A or B| connect, over all pairs or, given sides 0 and 1, those across."""
     m = len(nodes)
     sizes = np.array([len(s) for s in sets], np.int64)
     owner = np.repeat(np.arange(m), sizes)
@@ -186,8 +185,8 @@ def linked_forest(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, p
     first = np.searchsorted(owner, np.arange(m + 1))
     root = np.arange(m)
     apart = m
-    two = side.any()
-    for u in np.flatnonzero(side == 0):
+    across = np.ones(m, bool) if side is None else side == 1
+    for u in range(m) if side is None else np.flatnonzero(side == 0):
         if apart == 1:
             break
         own = code[first[u] : first[u + 1]]
@@ -200,7 +199,7 @@ def linked_forest(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, p
         common = np.bincount(holders[at], minlength=m)
         common[u] = 0
         hit = np.flatnonzero(100 * common >= percent * (sizes[u] + sizes - common))
-        hit = hit[(common[hit] > 0) & ((side[hit] == 1) if two else True)]
+        hit = hit[(common[hit] > 0) & across[hit]]
         roots = np.unique(np.append(root[hit], root[u]))
         if len(roots) > 1:
             root[np.isin(root, roots)] = roots[0]
@@ -215,12 +214,11 @@ def _verified_links(placed: DataFrame, percent: int) -> DataFrame:
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        seat = pdf.iloc[0]
+        one_block = seat["a"] == seat["b"] and seat["i"] == seat["j"]
         for _, own in pdf.drop_duplicates(["node", "side"]).groupby("component", sort=False):
             sets = [np.frombuffer(b, "<u8") for b in own["shingles"]]
-            side = own["side"].to_numpy()
-            if (side == 1).all() or len(own) < 2:
-                continue
-            u, v = linked_forest(own["node"].to_numpy(np.int64), sets, side, percent)
+            u, v = linked_forest(own["node"].to_numpy(np.int64), sets, None if one_block else own["side"].to_numpy(), percent)
             us.append(u)
             vs.append(v)
         u, v = local_forest(np.concatenate(us), np.concatenate(vs))
