@@ -24,6 +24,7 @@ from .util import each_copy, fresh, materialize, whole_text
 
 # A-Z in lower case; every separator byte (all ASCII but digits and letters) as a space
 PLAIN = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
+ROWS_AT_ONCE = 500  # texts whose features a task hands on together
 NO_WORD = b" \x00"  # stands behind a text's last words, so that a span of the most words starts at each
 
 
@@ -55,29 +56,29 @@ def feature_buckets(text: str, buckets: int, max_n: int = 3) -> tuple[int, np.nd
     return words, np.concatenate(found) % np.uint32(buckets)
 
 
+def _number(buckets: int) -> str:
+    """The stored type of a bucket number."""
+    return "<u2" if buckets <= 1 << 16 else "<u4"
+
+
 def _scanned(rows: DataFrame, buckets: int, max_n: int) -> DataFrame:
-    """(doc_id, tag, n_words, n_features, seen binary): the distinct buckets of every text and
-    their counts, as little-endian 32-bit numbers, all buckets first."""
+    """(doc_id, tag, n_words, n_features, seen binary): the bucket of every feature of a text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            n_words, n_features, seen = [], [], []
-            for text in pdf["text"]:
-                words, found = feature_buckets(text, buckets, max_n)
-                own, counts = np.unique(found, return_counts=True)
-                n_words.append(words)
-                n_features.append(len(found))
-                seen.append(own.astype("<u4").tobytes() + counts.astype("<u4").tobytes())
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "tag": pdf["tag"], "n_words": n_words, "n_features": n_features, "seen": seen})
+            for at in range(0, len(pdf), ROWS_AT_ONCE):
+                part = pdf.iloc[at : at + ROWS_AT_ONCE]
+                n_words, seen = [], []
+                for text in part["text"]:
+                    words, found = feature_buckets(text, buckets, max_n)
+                    n_words.append(words)
+                    seen.append(found.astype(_number(buckets)).tobytes())
+                size = np.dtype(_number(buckets)).itemsize
+                yield pd.DataFrame({"doc_id": part["doc_id"], "tag": part["tag"], "n_words": n_words, "n_features": [len(x) // size for x in seen], "seen": seen})
 
     return rows.mapInPandas(run, "doc_id string, tag long, n_words long, n_features long, seen binary")
 
 
-def _pairs(seen: bytes) -> tuple[np.ndarray, np.ndarray]:
-    own, counts = np.frombuffer(seen, "<u4").reshape(2, -1)
-    return own, counts.astype(np.int64)
-
-
 def _totals(scanned: DataFrame, buckets: int) -> DataFrame:
     """(bucket, n): features per bucket; every task sums its texts before the shuffle."""
 
@@ -85,8 +86,7 @@ def _totals(scanned: DataFrame, buckets: int) -> DataFrame:
         total = np.zeros(buckets, np.int64)
         for pdf in batches:
             for seen in pdf["seen"]:
-                own, counts = _pairs(seen)
-                total[own] += counts
+                total += np.bincount(np.frombuffer(seen, _number(buckets)), minlength=buckets)
         hit = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": hit, "n": total[hit]})
 
@@ -142,7 +142,7 @@ def importance_scores(
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            sums = [int(np.dot(gains[own], counts)) for own, counts in map(_pairs, pdf["seen"])]
+            sums = [int(gains[np.frombuffer(seen, _number(buckets))].sum()) for seen in pdf["seen"]]
             yield pd.DataFrame({c: pdf[c] for c in ("doc_id", "tag", "n_words", "n_features")} | {"weight": sums})
 
     weighed = scanned.mapInPandas(weigh, "doc_id string, tag long, n_words long, n_features long, weight long")
