@@ -244,7 +244,7 @@ def _linked(docs: DataFrame, shingle_words: int, percent: int, bands: int, rows:
     text = whole_text(text_col).cast("string")
     texts = docs.select(order_id(id_col).alias("id"), F.col(id_col).isNull().alias("null_id"), F.xxhash64(text).alias("tag"), text.alias("text"))
     key = ["id", "null_id", "tag"]
-    chosen = texts.join(members.where("times = 1").select("node", *key), key)
+    chosen = texts.join(members.where("times = 1").select("node", *key).hint("merge"), key)  # alike at every size
     often = members.where("times > 1").select("node", *key)
     if not often.isEmpty():  # only rows that repeat are sorted with their texts
         chosen = chosen.unionByName(texts.join(often.select(*key), key, "left_semi").dropDuplicates(key).join(often, key))
