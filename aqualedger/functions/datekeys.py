@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_MAX_MDY = 99999999  # eight digits: the widest value the zero-padded format can hold
+MAX_MDY = 99999999  # eight digits: the widest value the zero-padded format can hold
 
 
 def _c(c: Column | str) -> Column:
@@ -63,7 +63,7 @@ def mdy_key(n: Column | str, strict: bool = True) -> Column:
     """
     a = F.abs(_c(n))
     key = (a % 10000) * 10000 + _idiv(a, 1000000) * 100 + _idiv(a, 10000) % 100
-    too_wide = a > _MAX_MDY
+    too_wide = a > MAX_MDY
     if strict:
         return F.when(too_wide, F.raise_error(F.concat(F.lit("MMDDYYYY value too wide: "), a.cast("string")))).otherwise(key)
     return F.when(~too_wide, key)
@@ -73,7 +73,7 @@ def mdy_date(n: Column | str, strict: bool = True) -> Column:
     """``MMDDYYYY`` int -> DATE.  Invalid dates raise when ``strict``, else NULL."""
     c = _c(n)
     parsed = F.when(
-        (c >= 0) & (c <= _MAX_MDY),
+        (c >= 0) & (c <= MAX_MDY),
         F.try_to_date(F.lpad(c.cast("string"), 8, "0"), "MMddyyyy"),
     )
     if strict:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.codes import CODE_BILLING_RECORD
 from ..functions.datekeys import in_months
+from .joins import split_join
 
 # The 15 line columns, by position; names come from the flat-rate branch.
 LINE_SCHEMA = T.StructType(
@@ -54,12 +55,22 @@ def bill_headers(
     return hf.join(wcm, F.col("cihis_cust") == F.col("customernumber"), "left").drop("customernumber")
 
 
-def bill_items_branch(headers: DataFrame, items: DataFrame) -> DataFrame:
+def _under_headers(lines: DataFrame, headers: DataFrame, repeated: bool) -> DataFrame:
+    """Each line under every billing record of its customer and date; a customer's many records
+    of one date are dealt to seats, and as the seat is a key, the join has shuffles of its own in
+    which AQE can split a customer's many lines.  Without ``repeated``, equal records count once."""
+    named = headers.select(*[F.col(k).alias(f"hf_{k}") for k in BILL_KEYS], "cihis_reference", "cisnumberofbilledaccount", "premisenumber")
+    on = [(k, f"hf_{k}") for k in BILL_KEYS]
+    joined = split_join(lines.drop("cisnumberofbilledaccount", "premisenumber"), named, on, "inner", copies=None if repeated else "_times")
+    return _as_line(joined)
+
+
+def bill_items_branch(headers: DataFrame, items: DataFrame, repeated: bool = True) -> DataFrame:
     """Billing records that have flat-rate items (outer join + not-null = inner join)."""
-    return _as_line(headers.join(items, BILL_KEYS, "inner"))
+    return _under_headers(items, headers, repeated)
 
 
-def bill_metered_branch(headers: DataFrame, usage: DataFrame) -> DataFrame:
+def bill_metered_branch(headers: DataFrame, usage: DataFrame, repeated: bool = True) -> DataFrame:
     """Billing records that have metered usage.  CIS number and premise come from the
     billing record's customer, not from the usage row."""
     tu = usage.select(
@@ -76,7 +87,7 @@ def bill_metered_branch(headers: DataFrame, usage: DataFrame) -> DataFrame:
         "todate",
         "totalcharges",
     )
-    return _as_line(headers.join(tu, BILL_KEYS, "inner"))
+    return _under_headers(tu, headers, repeated)
 
 
 def bill_lines(items_branch: DataFrame, metered_branch: DataFrame) -> DataFrame:

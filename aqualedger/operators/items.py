@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import CLASS_TYPE_SALES, TYPE_ITEM_RECORD, TYPE_TOTAL_BILLING, item_service_size
-from ..functions.datekeys import date_key, in_months, mdy_key, whole_days
+from ..functions.datekeys import MAX_MDY, date_key, in_months, mdy_key, whole_days
 
 CHARGES = "decimal(28,4)"  # type of a sum of amounts
 ITEM_GROUP_KEYS = [
@@ -50,11 +50,13 @@ def billing_periods(histv: DataFrame, start_key: int | None = None, end_key: int
     )
 
 
-def period_copies(histv: DataFrame, start_key: int | None = None, end_key: int | None = None) -> DataFrame:
+def period_copies(histv: DataFrame, start_key: int | None = None, end_key: int | None = None, strict: bool = True) -> DataFrame:
     """Distinct billing periods of a customer and bill date, each with the number of its
-    total billing records: repeated records of a period are one row of a join."""
+    total billing records: repeated records of a period are one row of a join.  Periods that
+    give the same date keys are one (signs are dropped and, unless ``strict``, dates too wide)."""
     tbr = billing_periods(histv, start_key, end_key)
-    return tbr.groupBy(*tbr.columns).agg(F.count(F.lit(1)).alias("tbr_copies"))
+    ends = {c: F.abs(c) if strict else F.when(F.abs(c) <= MAX_MDY, F.abs(c)) for c in ("tbr_from_date", "tbr_to_date")}
+    return tbr.withColumns(ends).groupBy(*tbr.columns).agg(F.count(F.lit(1)).alias("tbr_copies"))
 
 
 def _with_service_dates(hv: DataFrame, items: DataFrame) -> DataFrame:
@@ -117,12 +119,13 @@ def billable_items(
     Every grouping key stays, including ``efd``/``edt`` that later steps drop: two
     billing periods on one bill split the charges into two groups.  Several type-95
     records with the same period multiply the item's charge inside the sum, as written;
-    they are counted before the join, so they multiply no rows.
+    they are counted before the join, so they multiply no rows.  The items are summed before
+    they meet the periods: the sum runs on the partitioning of the service-date join, and the
+    join with the periods (one row per period) shares its shuffles with no aggregate, so a
+    customer and date with many items can be split.
     ``sorted`` orders the output by the group keys (ascending, NULLs last).
     """
-    hv = item_records(histv, start_key, end_key)
-    j = _with_billing_period(_with_service_dates(hv, items), period_copies(histv, start_key, end_key))
-    derived = j.select(
+    derived = _with_service_dates(item_records(histv, start_key, end_key), items).select(
         "cihis_cust",
         "cihis_date",
         "cihis_service",
@@ -134,11 +137,18 @@ def billable_items(
         whole_days("cihis_from_date", "cihis_to_date", strict).alias("days"),
         mdy_key("cihis_from_date", strict).alias("fromdate"),
         mdy_key("cihis_to_date", strict).alias("todate"),
+        "cihis_amt",
+    )
+    own_keys = [k for k in ITEM_GROUP_KEYS if k not in ("efd", "edt")]
+    summed = derived.groupBy(*own_keys).agg(F.sum("cihis_amt").cast(CHARGES).alias("charge"))
+    j = _with_billing_period(summed, period_copies(histv, start_key, end_key, strict))
+    times = F.coalesce("tbr_copies", F.lit(1)).cast("decimal(10,0)")
+    out = j.select(
+        *own_keys,
         mdy_key("tbr_from_date", strict).alias("efd"),
         mdy_key("tbr_to_date", strict).alias("edt"),
-        (F.col("cihis_amt") * F.coalesce("tbr_copies", F.lit(1)).cast("decimal(19,0)")).alias("charge"),
+        (F.col("charge") * times).cast(CHARGES).alias("totalcharges"),
     )
-    out = derived.groupBy(*ITEM_GROUP_KEYS).agg(F.sum("charge").cast(CHARGES).alias("totalcharges"))
     return out.orderBy(*[F.asc_nulls_last(k) for k in ITEM_GROUP_KEYS]) if sorted else out
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import RATE_APPLICATION, rate_schedule, utility_type
@@ -31,13 +31,14 @@ def with_group_max(df: DataFrame, partition_cols: Sequence[str], order_col: str,
 
 
 def latest_by(df: DataFrame, partition_cols: Sequence[str], order_col: str) -> DataFrame:
-    """Rows carrying the latest ``order_col`` of their group; ties are all kept and a
-    NULL ``order_col`` never qualifies."""
-    return (
-        with_group_max(df, partition_cols, order_col, "_last")
-        .where(F.col(order_col) == F.col("_last"))
-        .drop("_last")
-    )
+    """Rows carrying the latest ``order_col`` of their group; ties are all kept and a NULL
+    ``order_col`` never qualifies (NULL partition keys form one group).
+
+    One scan, ranked with ties: of each group only the latest rows of a scan's task go through
+    the shuffle (Spark's window group limit), so older rows of a hot group never meet."""
+    latest = Window.partitionBy(*partition_cols).orderBy(F.col(order_col).desc())
+    ranked = df.where(F.col(order_col).isNotNull()).withColumn("_rank", F.rank().over(latest))
+    return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
 def latest_effective_date(detail: DataFrame) -> DataFrame:
@@ -47,11 +48,10 @@ def latest_effective_date(detail: DataFrame) -> DataFrame:
 
 
 def latest_detail_ids(detail: DataFrame) -> DataFrame:
-    """Detail ids that are the latest of *some* rate master: the set is not scoped to a
-    master, so an id latest for one master qualifies for every master using it."""
-    return latest_by(detail.select("ratemasterid", "ratedetailid", "effectivedate"), ["ratemasterid"], "effectivedate").select(
-        "ratedetailid"
-    )
+    """Detail ids that are the latest of *some* rate master, each once: the set is not scoped to
+    a master, so an id latest for one master qualifies for every master using it."""
+    dated = detail.select("ratemasterid", "ratedetailid", "effectivedate")
+    return latest_by(dated, ["ratemasterid"], "effectivedate").select("ratedetailid").distinct()
 
 
 def latest_details(detail: DataFrame) -> DataFrame:

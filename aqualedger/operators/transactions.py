@@ -10,7 +10,7 @@ from ..sources.landing import BillingTables
 from .bill_lines import bill_headers, bill_items_branch, bill_lines, bill_metered_branch
 from .blocks import account_premise_link, block_header, block_use, block_use_by_premise
 from .items import billable_items
-from .joins import split_left_join
+from .joins import expand, split_join, with_copies
 from .rates import rate_class
 from .usage import total_usage
 
@@ -29,7 +29,10 @@ def bill_lines_in_window(
     usage = total_usage(
         t.ciconsumptionhist, t.wawatercustomermaster, t.fciregister, start_key, end_key
     )
-    return bill_lines(bill_items_branch(headers, items), bill_metered_branch(headers, usage))
+    if start_key is not None:
+        # what the join would tell Spark of the date, told to both readings of its inputs
+        usage = usage.where(F.col("billdate").between(start_key, end_key))
+    return bill_lines(bill_items_branch(headers, items, repeated=False), bill_metered_branch(headers, usage, repeated=False))
 
 
 def premise_block_use(
@@ -92,8 +95,8 @@ def transactions(
 
     The premise join is by premise and bill date only, so a line receives the block use
     of every header on that premise and day.  The result is a bag (no final distinct).
-    The two fan-out joins (premise and day, rate class) may have hot keys on either side;
-    they are written so that AQE can split both.
+    A premise and day with many headers is dealt to seats (``split_join``), and rows that are
+    equal from here on are repeated last, after every shuffle.
     ``with_rate_class`` adds the rate schedule and utility type of the line's rate.
     """
     lines = bill_lines_in_window(t, start_key, end_key, strict).where(
@@ -103,12 +106,15 @@ def transactions(
     b4 = premise_block_use(t, start_key, end_key, n_tiers).select(
         "premiseid", "billdate", "numberofdays", "tot_use", "tot_amt", *tiers
     )
-    j = split_left_join(lines, b4, [("premisenumber", "premiseid"), ("cihis_date", "billdate")])
+    b4 = b4.where(F.col("billdate").between(start_key, end_key))  # as the lines', before the split counts its rows
+    j = split_join(lines, b4, [("premisenumber", "premiseid"), ("cihis_date", "billdate")], copies="_times")
     if with_rate_class:
         # Both joins are left joins from the line on keys of the line only, so their order
-        # does not change the bag; the rate-class fan-out goes last, after every shuffle.
+        # does not change the bag.  Utility type and schedule follow from kind and rate, so a
+        # rate's many details are a row per kind and their number, repeated at the very end.
         rc = rate_class(
             t.ciratemaster, t.ciratekind, t.ciratedetail, t.ciitemratedetail, t.ciitemcode, t.cisteprate
         ).select(F.col("rate").alias("rc_rate"), "rsch", "utl_typ")
-        j = split_left_join(j, rc, [("cihis_rate1", "rc_rate")])
-    return _layout(j, n_tiers, with_rate_class)
+        j = j.join(with_copies(rc, "_details"), F.col("cihis_rate1") == F.col("rc_rate"), "left")
+        j = j.withColumn("_times", F.col("_times") * F.coalesce("_details", F.lit(1)))
+    return _layout(expand(j, "_times"), n_tiers, with_rate_class)

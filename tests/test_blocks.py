@@ -96,3 +96,28 @@ def test_invariants_on_standins(spark):
     assert joined.count() == hdr.count()
     tot = blocks.tier_totals(piv)
     assert tot.where(F.col("tot_use").isNull() | F.col("tot_amt").isNull()).count() == 0
+
+
+def test_hot_keys_are_dealt_to_seats(spark):
+    """A key with many rows on the right of a left join: its rows lie in as many partitions as
+    it has seats at most, none of which holds much more than ``seat_rows`` of them."""
+    from pyspark.sql import functions as F
+
+    from aqualedger.operators.joins import split_join
+
+    left = spark.range(6).selectExpr("id % 3 as a", "id as x")
+    right = spark.range(4000).selectExpr("0L as b", "id as y").unionByName(spark.range(3).selectExpr("1L as b", "id as y"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = split_join(left, right, [("a", "b")], seat_rows=500).withColumn("part", F.spark_partition_id())
+        parts = {r.part: r["count"] for r in joined.where("a = 0").groupBy("part").count().collect()}
+        assert joined.count() == 2 * 4000 + 2 * 3 + 2
+        two = split_join(left.distinct(), right, [("a", "b")], seat_rows=500, deal_left=True)
+        assert two.count() == 2 * 4000 + 2 * 3 + 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(parts) >= 3 and max(parts.values()) < 0.7 * 8000

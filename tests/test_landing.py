@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from aqualedger.operators import items
-from aqualedger.operators.joins import split_left_join
+from aqualedger.operators.joins import split_join, split_left_join
 from aqualedger.sources.landing import conform
 from aqualedger.sources.sinks import land_blocks_by_month
 
@@ -83,6 +83,14 @@ def test_split_left_join_is_a_left_join(spark):
     got = split_left_join(left, right, [("a", "b")])
     want = left.join(right, left.a == right.b, "left")
     assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    for seats in (1, 7):
+        for deal in (False, True):
+            for how in ("left", "inner"):
+                own = left.distinct()
+                many = right.unionByName(spark.range(20).selectExpr("2 as b", "cast(id as int) as y"))
+                got = split_join(own, many, [("a", "b")], how, seat_rows=seats, deal_left=deal)
+                want = own.join(many, own.a == many.b, how)
+                assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty(), (seats, deal, how)
     with pytest.raises(ValueError, match="share"):
         split_left_join(left, right.withColumnRenamed("y", "X"), [("a", "b")])
 

@@ -93,8 +93,8 @@ def test_month_partitions_pruned(spark, tables, tmp_path):
 
 
 def test_final_plan_shares_headers_and_scans(spark):
-    """Executed plans: both branches of the union read the billing records once, and the
-    latest rate details take three reads of the details."""
+    """Executed plans: both branches of the union read the billing records once (as do the counts of
+    their split joins), and the latest rate details take two reads of the details."""
     from aqualedger.plans import catalog
 
     def final(df) -> str:
@@ -103,6 +103,35 @@ def test_final_plan_shares_headers_and_scans(spark):
 
     lines = final(catalog.queries()["bill_lines_union"](spark, "/root/testdata/sf0.01"))
     headers = [x for x in lines.splitlines() if "FileScan" in x and "o_orderpriority" in x]
-    assert len(headers) == 2, headers  # one for the billing records, one for the billable items
+    assert 1 <= len(headers) <= 2, headers  # at most one for the billing records and one for the billable items
     rates = final(catalog.queries()["rate_class"](spark, "/root/testdata/sf0.01"))
-    assert sum("FileScan" in x and "l_partkey" in x for x in rates.splitlines()) <= 3
+    assert sum("FileScan" in x and "l_partkey" in x for x in rates.splitlines()) <= 2
+
+
+def test_every_role_is_scanned_once(spark, tmp_path):
+    """Executed plan of the transaction table over landed tables, with every join shuffled: each
+    role of a table is scanned at most once, though the split joins count their keys as well."""
+    import collections
+    import re
+
+    from aqualedger.sources.sinks import land_tables
+    from aqualedger.sources.standins import standin_tables
+
+    land_tables(standin_tables(spark, "/root/testdata/sf0.001"), str(tmp_path))
+    landed = read_tables(spark, str(tmp_path), known_schema=True)
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        out = transactions.transactions(landed, 19950701, 19950731, with_rate_class=True)
+        assert len(out.collect()) > 0
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    scans = [x for x in plan.splitlines() if "FileScan" in x]
+    roles = collections.Counter(re.search(r"ReadSchema: (.*)", x).group(1) for x in scans)  # no two tables or roles read the same columns
+    assert max(roles.values()) == 1, roles
+    assert len(scans) <= 18 and "ReusedExchange" in plan, len(scans)
+    assert sum("ratemasterid" in r and "ratedetailid" in r for r in roles) <= 2, roles  # the details, and their latest ids

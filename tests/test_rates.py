@@ -62,3 +62,14 @@ def test_application_filter_and_sort(tables):
         t.ciratemaster, t.ciratekind, t.ciratedetail, t.ciitemratedetail, t.ciitemcode, t.cisteprate, sorted=True
     )
     assert [(r.ratekindid, r.rkind_desc, r.rsch) for r in out.collect()] == [(0, "metered", "NO BILL"), (2, "flat", "Backflow")]
+
+
+def test_hot_master_keeps_every_tie(spark, tables):
+    """One master with thousands of details, a third of them tied on the latest date, some
+    repeated, some undated: all ties count, and older rows do not reach the shuffle."""
+    dated = [detail(1, i, 2021 if i % 3 == 0 else 2000 + i % 20) for i in range(3000)] + [detail(1, 3, 2021)] * 50
+    t = tables(ciratedetail=dated + [detail(1, 5000 + i, None) for i in range(100)] + [detail(2, 9000, 1990)])
+    ids = rates.latest_detail_ids(t.ciratedetail)
+    assert {r.ratedetailid for r in ids.collect()} == {i for i in range(0, 3000, 3)} | {9000}
+    assert ids.count() == 1001
+    assert "WindowGroupLimit" in ids._jdf.queryExecution().executedPlan().toString()
