@@ -82,3 +82,79 @@ def test_entry_point_explain(spark, tables, tmp_path, capsys):
     out = capsys.readouterr().out
     assert "GreaterThanOrEqual(cihis_date,20210301)" in out and "forbidden operators: none" in out
     assert not (tmp_path / "o").exists()
+
+
+def test_a_window_is_written_in_one_evaluation(spark, tmp_path):
+    """Twelve months, three of them empty now: the input's rows are counted once each."""
+    out, window = str(tmp_path / "tx"), (20210101, 20211231)
+    full = spark.range(1200).selectExpr("cast(20210001 + 100 * (id % 12 + 1) as int) as bld", "id as v")
+    write_months(full, out, window=window)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    some = full.where("bld < 20211000").mapInPandas(count, full.schema)
+    write_months(some, out, window=window)
+    assert seen.value == 900
+    got = spark.read.parquet(out)
+    assert got.count() == 900 and got.select("bill_month").distinct().count() == 9
+
+
+def _blocks_and_headers(spark, ids, dated):
+    """Blocks of the history ids (two equal ones each) and headers for those of them in ``dated``."""
+    import datetime as dt
+
+    from aqualedger.sources.schemas import SCHEMAS
+
+    block = SCHEMAS["ciconsumptionhistblock"]
+    rows = [tuple({"consumptionhistid": i, "readsequence": 1, "blocknumber": 1}.get(f.name) for f in block.fields) for i in ids for _ in range(2)]
+    hist = SCHEMAS["ciconsumptionhist"]
+    heads = [
+        tuple({"consumptionhistid": i, "readsequence": 1, "transactioncode": 102, "billdate": dt.datetime(2021, m, 5)}.get(f.name) for f in hist.fields)
+        for i, m in dated.items()
+    ]
+    return spark.createDataFrame(rows, block), spark.createDataFrame(heads, hist)
+
+
+def test_disjoint_increments_lose_no_block(spark, tmp_path):
+    from aqualedger.sources.sinks import land_blocks_by_month
+
+    out = str(tmp_path / "blocks")
+
+    def landed():
+        rows = spark.read.parquet(out).groupBy("consumptionhistid", "bill_month").count().collect()
+        return {r.consumptionhistid: (r.bill_month, r["count"]) for r in rows}
+
+    first = _blocks_and_headers(spark, [1, 2, 3, 4], {1: 3, 2: 4})
+    second = _blocks_and_headers(spark, [5, 6, 7], {5: 3, 3: 4})  # shares months 3 and 4, and claims block 3
+    land_blocks_by_month(*first, out, increment=202103)
+    assert landed() == {1: (202103, 2), 2: (202104, 2), 3: (0, 2), 4: (0, 2)}
+    both = {1: (202103, 2), 2: (202104, 2), 3: (202104, 2), 4: (0, 2), 5: (202103, 2), 6: (0, 2), 7: (0, 2)}
+    for _ in range(2):  # a repeated increment changes nothing
+        land_blocks_by_month(*second, out, increment=202104)
+        assert landed() == both
+    last = _blocks_and_headers(spark, [], {4: 5, 6: 5, 7: 3})
+    land_blocks_by_month(*last, out, increment=202105)  # claims all that waited: nothing stays without a month
+    assert landed() == both | {4: (202105, 2), 6: (202105, 2), 7: (202103, 2)}
+
+
+def test_increments_of_all_tables_add_up(spark, tmp_path):
+    from aqualedger.sources.landing import HISTORY, BillingTables, read_tables
+    from aqualedger.sources.sinks import land_tables
+    from aqualedger.sources.standins import standin_tables
+
+    t = standin_tables(spark, "/root/testdata/sf0.001")
+    key = {"fcihistv": "cihis_cust", "fcihistf": "cihis_cust", "ciconsumptionhist": "consumptionhistid", "ciconsumptionhistblock": "consumptionhistid"}
+
+    def part(p):
+        return BillingTables(**{n: getattr(t, n).where(f"pmod({key[n]}, 2) = {p}") if n in key else getattr(t, n) for n in t.__dataclass_fields__})
+
+    for p in (0, 1, 1):
+        land_tables(part(p), str(tmp_path), increment=p + 1)
+    landed = read_tables(spark, str(tmp_path), known_schema=True)
+    for n in HISTORY:
+        a, b = getattr(landed, n).drop("bill_month"), getattr(t, n).where(f"{key[n]} is not null")
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), n
