@@ -1,5 +1,5 @@
-"""Language identification in two steps: the family first, then, within the family, one
-linear support vector machine per language against the others.
+"""Language identification in two steps: the family first, then, within the family, linear
+support vector machines for every two of its languages, which vote.
 
 Features are hashed letter 1- to 3-grams of the whole text, as square roots of their
 shares.  The machines are fitted in the driver on a bounded sample of labelled texts (by
@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -90,7 +91,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray, epochs: int, ridge: float) -> tuple[np
 
 @dataclass(frozen=True)
 class Machines:
-    """One-versus-rest machines: rows of ``weights`` with ``names``."""
+    """One-versus-rest machines, which tell families apart: rows of ``weights`` with ``names``."""
 
     names: list[str]
     weights: np.ndarray
@@ -111,10 +112,44 @@ class Machines:
         return e / e.sum(axis=1, keepdims=True)
 
 
+@dataclass(frozen=True)
+class Pairs:
+    """One-versus-one machines: row k of ``weights`` is for the k-th two of ``names`` (in the order
+    of itertools.combinations) and positive for the first of them."""
+
+    names: list[str]
+    weights: np.ndarray
+    intercepts: np.ndarray
+
+    @staticmethod
+    def fit(x: np.ndarray, of: np.ndarray, s: Settings) -> Pairs:
+        names = sorted(set(of.tolist()))
+        fits = []
+        for a, b in combinations(names, 2):  # each on the texts of its two languages alone
+            own = (of == a) | (of == b)
+            fits.append(fit_svm(x[own], np.where(of[own] == a, 1.0, -1.0), s.epochs, s.ridge))
+        weights = np.stack([w for w, _ in fits]) if fits else np.zeros((0, x.shape[1]))
+        return Pairs(names, weights, np.array([b for _, b in fits]))
+
+    def decide(self, x: np.ndarray) -> tuple[str, float]:
+        """The language with the most votes (ties: the larger sum of its margins, then the first
+        name), and how surely, 0 to 1, it beats the others on average (1 if it is alone)."""
+        k = len(self.names)
+        if k == 1:
+            return self.names[0], 1.0
+        first, second = np.array(list(combinations(range(k), 2))).T
+        margins = self.weights @ x + self.intercepts
+        votes = np.bincount(np.where(margins >= 0, first, second), minlength=k)
+        sums = np.bincount(first, margins, k) - np.bincount(second, margins, k)
+        best = max(range(k), key=lambda i: (votes[i], sums[i], -i))
+        against = np.concatenate([margins[first == best], -margins[second == best]])
+        return self.names[best], float(np.mean(1 / (1 + np.exp(-6 * np.clip(against, -50, 50)))))
+
+
 @dataclass(frozen=True)
 class Model:
     family: Machines
-    languages: dict[str, Machines]
+    languages: dict[str, Pairs]
     buckets: int
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
@@ -127,10 +162,9 @@ class Model:
                 continue
             p = self.family.shares(x[None])[0]
             f = int(p.argmax())
-            own = self.languages[self.family.names[f]]
-            q = own.shares(x[None])[0]
-            langs.append(own.names[int(q.argmax())])
-            scores.append(float(p[f] * q.max()))
+            lang, sure = self.languages[self.family.names[f]].decide(x)
+            langs.append(lang)
+            scores.append(float(p[f]) * sure)
         return langs, scores
 
 
@@ -165,7 +199,7 @@ def train(labelled: DataFrame, s: Settings) -> Model | None:
     x = np.stack([np.frombuffer(v, "<f4") for v in sample["x"]]).astype(np.float64)
     lang = sample["lang"].to_numpy(str)
     family = np.array([s.families.get(v, v) for v in lang])
-    own = {f: Machines.fit(x[family == f], lang[family == f], s) for f in set(family.tolist())}
+    own = {f: Pairs.fit(x[family == f], lang[family == f], s) for f in set(family.tolist())}
     return Model(Machines.fit(x, family, s), own, s.buckets)
 
 
@@ -175,7 +209,9 @@ def predict_language(docs: DataFrame, s: Settings = Settings(), id_col: str = "d
     Learns from the texts with a lang whose id is not held out.  Null texts, texts without a
     letter, and all texts if nothing could be learnt are ``und`` with score 0.  A null doc_id is
     predicted, not learnt from, and not held out.  Repeated rows are each predicted and learnt
-    from once; other columns are not read."""
+    from once.  Languages that get equally many votes are told apart by their margins, then by
+    name.  Whole texts are read, however long; an empty table gives no rows; other columns are
+    not read."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     model = train(rows.where(F.col("doc_id").isNotNull() & ~held_out()), s)
     spread = docs.sparkSession.sparkContext.broadcast(model)  # languages x buckets numbers

@@ -121,7 +121,7 @@ def test_family_comes_first():
     x = np.eye(6)[[0, 1, 2, 3, 4, 5] * 4]
     lang = np.array(["en", "de", "fr", "es", "ru", "xx"] * 4)
     family = np.array([s.families.get(v, v) for v in lang])
-    own = {f: langid.Machines.fit(x[family == f], lang[family == f], s) for f in set(family)}
+    own = {f: langid.Pairs.fit(x[family == f], lang[family == f], s) for f in set(family)}
     assert sorted(own) == ["germanic", "romance", "slavic", "xx"] and own["romance"].names == ["es", "fr"]
 
 
@@ -131,3 +131,54 @@ def test_toxic_rows_go_by_id_and_text(spark):
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(20, 120)], "doc_id long, toxic int")
     kept = {(r.doc_id, r.text) for r in toxicity.drop_toxic(spark.createDataFrame(docs, "doc_id long, text string"), labels).collect()}
     assert {(i, t) for i, t in kept if i is None or i < 20} == {(None, good), (1, good)}
+
+
+def test_pairs_vote_within_a_family():
+    """Four languages: a machine for every two, fitted on those two alone, and the majority of
+    their votes (ties by margins, then by name), against a plain count."""
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=(4, 12))
+    lang = np.array(["da", "de", "en", "nl"] * 60)
+    x = centre[np.arange(240) % 4] + rng.normal(scale=0.5, size=(240, 12))
+    s = langid.Settings(epochs=8)
+    pairs = langid.Pairs.fit(x, lang, s)
+    assert len(pairs.weights) == 6
+    machines = {}
+    for a, b in [("da", "de"), ("da", "en"), ("da", "nl"), ("de", "en"), ("de", "nl"), ("en", "nl")]:
+        own = (lang == a) | (lang == b)
+        machines[a, b] = langid.fit_svm(x[own], np.where(lang[own] == a, 1.0, -1.0), s.epochs, s.ridge)
+    for v in rng.normal(scale=2, size=(300, 12)):
+        votes, sums = dict.fromkeys(pairs.names, 0), dict.fromkeys(pairs.names, 0.0)
+        for (a, b), (w, c) in machines.items():
+            m = float(w @ v + c)
+            votes[a if m >= 0 else b] += 1
+            sums[a] += m
+            sums[b] -= m
+        got, sure = pairs.decide(v)
+        want = sorted(pairs.names, key=lambda n: (-votes[n], -round(sums[n], 9), n))[0]
+        assert got == want and 0 <= sure <= 1
+    assert np.mean([pairs.decide(v)[0] == n for v, n in zip(x, lang)]) > 0.8
+
+
+def test_ties_go_by_margins_then_by_name():
+    # a beats b, b beats c, c beats a: one vote each
+    ring = langid.Pairs(["a", "b", "c"], np.zeros((3, 1)), np.array([1.0, -1.0, 2.0]))
+    assert ring.decide(np.zeros(1))[0] == "b"
+    even = langid.Pairs(["a", "b", "c"], np.zeros((3, 1)), np.array([1.0, -1.0, 1.0]))
+    assert even.decide(np.zeros(1))[0] == "a"
+    alone = langid.Pairs(["x"], np.zeros((0, 1)), np.zeros(0))
+    assert alone.decide(np.zeros(1)) == ("x", 1.0)
+
+
+def test_three_close_languages_of_one_family(spark):
+    """Texts of three languages of one family that share most of their words."""
+    import random
+
+    rng = random.Random(6)
+    shared = ["ala", "brona", "kerit", "dolum", "sanet", "vireo", "tamar", "polen"]
+    own = {"es": ["que", "los", "muy"], "pt": ["nao", "uma", "dos"], "it": ["che", "gli", "per"], "de": ["und", "der", "sch"]}
+    docs = [(i, " ".join(rng.choice(own[lang] if rng.random() < 0.35 else shared) for _ in range(30)), lang) for i, lang in enumerate(["es", "pt", "it", "de"] * 80)]
+    got = langid.predict_language(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()
+    truth = {i: lang for i, _, lang in docs}
+    out = [r for r in got if r.held_out]
+    assert len(out) > 40 and sum(r.lang_pred == truth[r.doc_id] for r in out) / len(out) > 0.95
