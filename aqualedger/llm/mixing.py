@@ -8,19 +8,24 @@ released blocks goes next.  That keeps every source less than one block from its
 at every slot, to the end, also where sources run out and the others' shares grow.  Releases
 and deadlines are computed from the exact rational weights, so nothing accumulates.
 
-With equal weights the schedule is a round per block number, in which each source that still
-has blocks takes a slot; then a block's slot follows from its number and its source's turn.
-Unequal weights are scheduled block by block in one task, which streams through the slots
-and keeps only the sources.  No document is dropped or repeated."""
+The slots are cut into stretches that are scheduled apart.  At a cut, a source has at most one
+block whose window spans it, f of which the ideal mixture has run.  Which of these blocks run
+before the cut is decided from the cut alone: earliest deadline first, taking at most ceil(sum
+of f) among those released at or after any slot.  So many slots are free of blocks due before
+the cut; and since whole numbers within both orders' bounds exist where fractions do, at least
+floor(sum of f) of those due by any slot are taken, which leaves the rest room behind it.
+Stretches are longer than any window, so no block spans two cuts.  No document is dropped or
+repeated."""
 
 from __future__ import annotations
 
 import heapq
 import math
+from bisect import bisect_left
 from collections.abc import Iterator, Mapping, Sequence
 from fractions import Fraction
+from itertools import groupby, islice
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,97 +35,98 @@ from .util import each_copy, fresh, materialize, order_id, whole_text
 
 NO_SOURCE = ""  # name under which rows without a source are mixed
 ROWS_PER_BUCKET = 1000
-
-
-def shares_of_frame(weights: Mapping[str, float], frame: int) -> dict[str, int]:
-    """Whole slots per frame by largest remainder; every source gets at least one."""
-    if len(weights) > frame:
-        raise ValueError(f"{len(weights)} sources do not fit a frame of {frame} slots")
-    total = sum(Fraction(w) for w in weights.values())
-    spare = frame - len(weights)
-    ideal = {s: Fraction(w) / total * frame for s, w in weights.items()}
-    over = {s: max(Fraction(0), x - 1) for s, x in ideal.items()}
-    left = sum(over.values())
-    exact = {s: over[s] * spare / left if left else Fraction(0) for s in weights}
-    got = {s: 1 + int(x) for s, x in exact.items()}
-    by_rest = sorted(weights, key=lambda s: (int(exact[s]) - exact[s], s))
-    for s in by_rest[: frame - sum(got.values())]:
-        got[s] += 1
-    return got
-
-
-def frame_slots(slots: Mapping[str, int]) -> dict[str, list[int]]:
-    """Earliest-deadline-first over one frame: the slots of each source's blocks.  Integer
-    release times and deadlines, as many unit jobs as slots."""
-    frame = sum(slots.values())
-    out: dict[str, list[int]] = {s: [] for s in slots}
-    waiting = [(0, s) for s in sorted(slots) if slots[s]]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, int, str]] = []
-    for t in range(frame):
-        while waiting and waiting[0][0] <= t:
-            _, s = heapq.heappop(waiting)
-            i = len(out[s])
-            heapq.heappush(ready, (-(-(i + 1) * frame // slots[s]), i, s))
-        _, i, s = heapq.heappop(ready)
-        out[s].append(t)
-        if i + 1 < slots[s]:
-            heapq.heappush(waiting, ((i + 1) * frame // slots[s], s))
-    return out
-
-
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], frame: int) -> list[tuple[str, int, int, int, int, int, list[int]]]:
-    """(source, first block, blocks, base slot, frame length, slots per frame, slots) for each
-    phase and source.  Base slots and frames grow; sources that end drop out."""
-    left = {s: n for s, n in blocks.items() if n > 0}
-    done = dict.fromkeys(left, 0)
-    base, out = 0, []
-    while left:
-        slots = shares_of_frame({s: weights[s] for s in left}, max(frame, len(left)))
-        at = frame_slots(slots)
-        length = sum(slots.values())
-        frames = max(1, min(n // slots[s] for s, n in left.items()))
-        for s in list(left):
-            n = min(left[s], frames * slots[s])
-            out.append((s, done[s], n, base, length, slots[s], at[s]))
-            done[s] += n
-            left[s] -= n
-            if not left[s]:
-                del left[s]
-        base += frames * length
-    return out
-
-
-def schedule(blocks: Sequence[int], weights: Sequence[int]) -> Iterator[int]:
-    """The index of the source that each slot goes to: earliest deadline first with the exact
-    releases and deadlines of whole-number weights (any common scale)."""
-    live = sorted((i for i, n in enumerate(blocks) if n > 0), key=lambda i: Fraction(blocks[i], weights[i]))
-    # T(v) = ended + v * total until a source ends: (its blocks, its weight, ended, total)
-    pieces, ended, total = [], 0, sum(weights[i] for i in live)
-    for i in live:
-        pieces.append((blocks[i], weights[i], ended, total))
-        ended, total = ended + blocks[i], total - weights[i]
-    piece, done, after = [0] * len(blocks), [0] * len(blocks), [0] * len(blocks)  # after: release of the next block
-
-    def reach(s: int, i: int) -> tuple[int, int]:  # floor and ceil of T(i / w)
-        p = piece[s]
-        while i * pieces[p][1] > pieces[p][0] * weights[s]:
+BUCKETS_PER_RANGE = 1000
+STRETCH = 65536  # least slots of a stretch
+SLOTS_PER_SOURCE = 16  # a cut costs a step for each source
+
+
+class Ideal:
+    """The ideal mixture of sources with ``blocks`` and whole-number ``weights`` (any common scale)."""
+
+    def __init__(self, blocks: Sequence[int], weights: Sequence[int]):
+        self.blocks, self.weights = blocks, weights
+        self.live = sorted((s for s, n in enumerate(blocks) if n > 0), key=lambda s: Fraction(blocks[s], weights[s]))
+        self.slots = sum(blocks[s] for s in self.live)
+        # T(v) = ended + v * total until a source ends: (its blocks, its weight, ended, total)
+        self.pieces, self.ends, self.tops = [], [], []
+        ended, total = 0, sum(weights[s] for s in self.live)
+        for s in self.live:
+            self.pieces.append((blocks[s], weights[s], ended, total))
+            self.ends.append(Fraction(blocks[s], weights[s]))
+            self.tops.append(ended + self.ends[-1] * total)
+            ended, total = ended + blocks[s], total - weights[s]
+
+    def piece(self, s: int, i: int) -> int:
+        """The piece in which source s has run i blocks."""
+        return bisect_left(self.ends, Fraction(i, self.weights[s]))
+
+    def reach(self, s: int, i: int, p: int) -> tuple[int, int, int]:
+        """Floor and ceil of T(i / w) and its piece, which is ``p`` or a later one."""
+        w = self.weights[s]
+        while i * self.pieces[p][1] > self.pieces[p][0] * w:
             p += 1
-        piece[s] = p
-        _, _, ended, total = pieces[p]
-        return ended + i * total // weights[s], ended - (-i * total // weights[s])
-
-    waiting = [(0, s) for s in sorted(live)]
+        _, _, ended, total = self.pieces[p]
+        return ended + i * total // w, ended - (-i * total // w), p
+
+    def before(self, t: int) -> list[int]:
+        """How many blocks of each source run before a cut at slot t."""
+        if t >= self.slots:
+            return list(self.blocks)
+        done = [0] * len(self.blocks)
+        if t <= 0:
+            return done
+        _, _, ended, total = self.pieces[bisect_left(self.tops, t)]
+        v = t - ended  # over total
+        spanning = []
+        for s in self.live:
+            if self.blocks[s] * total <= self.weights[s] * v:
+                done[s] = self.blocks[s]
+                continue
+            done[s], part = divmod(self.weights[s] * v, total)
+            if part:
+                release, _, p = self.reach(s, done[s], self.piece(s, done[s]))
+                spanning.append((release, self.reach(s, done[s] + 1, p)[1], s, part))
+        room, parts = {}, 0
+        for _, _, s, part in sorted(spanning, reverse=True):  # by release, last first
+            parts += part
+            room[s] = -(-parts // total)
+        free = list(range(parts // total + 1))  # the last free place at or before each
+
+        def last_free(x: int) -> int:
+            while free[x] != x:
+                free[x] = free[free[x]]
+                x = free[x]
+            return x
+
+        for _, s in sorted((due, s) for _, due, s, _ in spanning):
+            x = last_free(room[s])
+            if x:
+                free[x] = x - 1
+                done[s] += 1
+        return done
+
+
+def schedule(ideal: Ideal, start: int = 0, stop: int | None = None) -> Iterator[tuple[int, int]]:
+    """(source, block) of each slot of a stretch: earliest deadline first among the released."""
+    stop = ideal.slots if stop is None else min(stop, ideal.slots)
+    done, last = ideal.before(start), ideal.before(stop)
+    piece, after = {}, {}  # after: release of the next block
+    waiting: list[tuple[int, int]] = []
+    for s, i in enumerate(done):
+        if i < last[s]:
+            release, _, piece[s] = ideal.reach(s, i, ideal.piece(s, i))
+            waiting.append((max(release, start), s))
+    heapq.heapify(waiting)
     ready: list[tuple[int, int]] = []
-    for t in range(sum(blocks[i] for i in live)):
+    for t in range(start, stop):
         while waiting and waiting[0][0] <= t:
             _, s = heapq.heappop(waiting)
-            after[s], due = reach(s, done[s] + 1)
-            heapq.heappush(ready, (due, s))
+            after[s], due, piece[s] = ideal.reach(s, done[s] + 1, piece[s])
+            heapq.heappush(ready, (min(due, stop), s))
         _, s = heapq.heappop(ready)
-        yield s
+        yield s, done[s]
         done[s] += 1
-        if done[s] < blocks[s]:
+        if done[s] < last[s]:
             heapq.heappush(waiting, (after[s], s))
 
 
@@ -133,54 +139,32 @@ def whole_weights(weights: Mapping[str, float]) -> tuple[dict[str, int], int]:
 
 
 def _scheduled(sources: DataFrame, at_once: int) -> DataFrame:
-    """(name, blocks, weight) -> (name, k, slot) of every block.  One task, which keeps the
-    sources and hands over ``at_once`` slots at a time."""
+    """(name, blocks, weight) -> (name, k, slot) of every block.  Each stretch of slots is a
+    piece of work of its own, which holds the sources and hands over ``at_once`` slots at a time."""
+    weight = F.col("weight").cast("double")
+    of = sources.agg(F.count("*").alias("n"), F.sum("blocks").alias("slots"), (F.sum(weight) / F.min(weight)).alias("window")).first()
+    slots = of.slots or 0
+    window = slots if of.window is None or of.window > slots else math.ceil(of.window * 1.001) + 2  # of the smallest weight
+    span = max(STRETCH, SLOTS_PER_SOURCE * of.n, window)
+    stretches = max(1, -(-slots // span))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = sorted((r.name, r.blocks, int(r.weight)) for pdf in batches for r in pdf.itertuples(index=False, name="Row"))
-        names, done, held = [r[0] for r in rows], [0] * len(rows), []
-        for t, s in enumerate(schedule([r[1] for r in rows], [r[2] for r in rows])):
-            held.append((names[s], done[s], t))
-            done[s] += 1
-            if len(held) == at_once:
-                yield pd.DataFrame(held, columns=["name", "k", "slot"])
-                held = []
-        yield pd.DataFrame(held, columns=["name", "k", "slot"]).astype({"name": object, "k": np.int64, "slot": np.int64})
-
-    return sources.coalesce(1).mapInPandas(run, "name string, k long, slot long")
-
-
-def _turns(sources: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """For equal weights, (name, blocks) -> (name, turn): the place in the order by blocks,
-    most first, so that those with a block of number k are the first ones; and (k, start), the
-    first slot of each round.  Only the distinct numbers of blocks come to
-    the driver: at most the root of twice the blocks of all sources."""
-    kinds = [(r["blocks"], r["count"]) for r in sources.groupBy("blocks").count().orderBy("blocks").collect()]
-    live = sum(c for _, c in kinds)
-    buckets = max(1, -(-live // ROWS_PER_BUCKET))
-    pieces, larger = [], []
-    at = lo = 0
-    for n, c in kinds:
-        pieces.append((lo, n - lo, at, live))
-        at, lo, live = at + (n - lo) * live, n, live - c
-        larger.append((n, live))
-    spans = sources.sparkSession.createDataFrame(pieces, "lo long, len long, base long, live long")
-    j = F.col("j")
-    rounds = each_copy(spans, "len", "j").select((F.col("lo") + j).alias("k"), (F.col("base") + j * F.col("live")).alias("start"))
-
-    # numbered in buckets by name, since most sources may have one number of blocks
-    keyed = sources.withColumn("b", F.pmod(F.xxhash64("name"), F.lit(buckets)))
-    heads = keyed.groupBy("blocks", "b").count()
-    heads = heads.withColumn("before", F.sum("count").over(W.partitionBy("blocks").orderBy("b")) - F.col("count")).drop("count")
-    more = sources.sparkSession.createDataFrame(larger, "blocks long, larger long")
-    heads = heads.join(F.broadcast(more), "blocks")
-    within = F.row_number().over(W.partitionBy("blocks", "b").orderBy("name")) - 1
-    turns = keyed.withColumn("within", within).join(heads, ["blocks", "b"])
-    return turns.select("name", (F.col("larger") + F.col("before") + F.col("within")).alias("turn")), rounds
+        rows = ((r.stretch, r.name, r.blocks, int(r.weight)) for pdf in batches for r in pdf.itertuples(index=False, name="Row"))
+        for stretch, own in groupby(rows, key=lambda r: r[0]):
+            _, names, blocks, weights = zip(*own)
+            at, placed = stretch * span, schedule(Ideal(blocks, weights), stretch * span, (stretch + 1) * span)
+            while held := list(islice(placed, at_once)):
+                of, k = zip(*held)
+                yield pd.DataFrame({"name": [names[s] for s in of], "k": k, "slot": range(at, at + len(held))})
+                at += len(held)
+
+    spread = each_copy(sources.withColumn("stretches", F.lit(stretches).cast("long")), "stretches", "stretch")
+    spread = spread.repartition(stretches, "stretch").sortWithinPartitions("stretch", "name")
+    return spread.select("stretch", "name", "blocks", "weight").mapInPandas(run, "name string, k long, slot long")
 
 
 def mix(
-    docs: DataFrame, weights: Mapping[str, float] | None = None, block_docs: int = 64, frame: int = 1024, max_sources: int | None = None,
+    docs: DataFrame, weights: Mapping[str, float] | float | None = None, block_docs: int = 64, frame: int = 8192, max_sources: int | None = None,
     id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with mix_slot (the slot of the document's block) and mix_pos (its place in the
@@ -188,14 +172,17 @@ def mix(
     mixture.
 
     ``weights`` by source (positive, any scale); a source without one gets the mean of those
-    given, and no weights at all ({}) are equal ones.  Without weights (None), every source has
-    its share of blocks, which lasts to the end.  Null sources are one source, named ''.  Any
-    number of sources; more than ``max_sources``, where it is given, are an error.  Unequal weights are scheduled ``frame`` slots at a time.  Rows equal
-    in id and text share a place in the order and are told apart by nothing else."""
-    slot_col, pos_col, src, h, bucket, rank, k, src2, bucket2, before, turn, k2, slot2 = fresh(
-        docs.columns, "mix_slot", "mix_pos", "src", "h", "bucket", "rank", "k", "src2", "bucket2", "before", "turn", "k2", "slot2"
+    given, and no weights at all ({}) are equal ones.  A number a gives every source the weight
+    n^a of its n documents, rounded to thousandths: 1 keeps the sources' shares, less raises small
+    sources.  Without weights (None), every source has its share of blocks, which lasts to the
+    end.  Null sources are one source, named ''.  Any number of sources; more than
+    ``max_sources``, where it is given, are an error.  Slots are handed over ``frame`` at a time.
+    Rows equal in id and text share a place in the order and are told apart by nothing else.  Null
+    and empty texts are documents like others, long ones count as one; an empty table gives none."""
+    slot_col, pos_col, src, h, bucket, rank, k, src2, bucket2, before, k2, slot2 = fresh(
+        docs.columns, "mix_slot", "mix_pos", "src", "h", "bucket", "rank", "k", "src2", "bucket2", "before", "k2", "slot2"
     )
-    if weights is not None and any(w <= 0 for w in weights.values()):
+    if isinstance(weights, Mapping) and any(w <= 0 for w in weights.values()):
         raise ValueError("weights must be positive")
     source = F.coalesce(F.col(source_col).cast("string"), F.lit(NO_SOURCE))
     keyed = docs.withColumns({src: source, h: F.xxhash64(order_id(id_col), whole_text(text_col))})
@@ -203,37 +190,34 @@ def mix(
     sources = materialize(sources, "mix-sources")
     if max_sources is not None and sources.limit(max_sources + 1).count() > max_sources:
         raise ValueError(f"more than {max_sources} sources")
-    equal = weights is not None and len(set(weights.values())) <= 1
 
-    # ranks within a source without a window over the whole source: hash buckets, then offsets
+    # ranks within a source without a window over the whole source: hash buckets, ranges of them, then offsets
     n_buckets = max(1, -(-(sources.agg(F.sum("n")).first()[0] or 0) // ROWS_PER_BUCKET))
     keyed = keyed.withColumn(bucket, F.pmod(F.col(h), F.lit(n_buckets)))
-    per_bucket = keyed.groupBy(F.col(src).alias(src2), F.col(bucket).alias(bucket2)).count()
-    offsets = per_bucket.withColumn(before, F.sum("count").over(W.partitionBy(src2).orderBy(bucket2)) - F.col("count")).drop("count")
-    if equal:
-        turns, rounds = _turns(sources)
-        offsets = offsets.join(turns.toDF("name", turn), F.col(src2) == F.col("name")).drop("name")
-    offsets = materialize(offsets, "mix-offsets")
+    heads = keyed.groupBy(F.col(src).alias(src2), F.col(bucket).alias(bucket2)).count()
+    heads = materialize(heads.withColumn("range", F.floor(F.col(bucket2) / BUCKETS_PER_RANGE)), "mix-heads")
+    upto = lambda *keys: F.sum("count").over(W.partitionBy(*keys[:-1]).orderBy(keys[-1])) - F.col("count")
+    ranges = heads.groupBy(F.col(src2).alias("of"), F.col("range").alias("at")).agg(F.sum("count").alias("count")).withColumn("head", upto("of", "at")).drop("count")
+    offsets = heads.withColumn("inner", upto(src2, "range", bucket2)).join(ranges, (F.col(src2) == F.col("of")) & (F.col("range") == F.col("at")))
+    offsets = materialize(offsets.select(src2, bucket2, (F.col("head") + F.col("inner")).alias(before)), "mix-offsets")
     within = F.row_number().over(W.partitionBy(src, bucket).orderBy(h, order_id(id_col))) - 1
-    ranked = keyed.withColumn(rank, within).join(offsets, (F.col(src) == F.col(src2)) & (F.col(bucket) == F.col(bucket2)))
+    ranked = keyed.withColumn(rank, within).join(offsets, (F.col(src) == F.col(src2)) & (F.col(bucket) == F.col(bucket2))).drop(src2, bucket2)
     ranked = ranked.withColumn(rank, F.col(rank) + F.col(before)).withColumn(k, F.floor(F.col(rank) / block_docs))
-    if equal:
-        placed = ranked.join(materialize(rounds, "mix-rounds").toDF(k2, slot2), F.col(k) == F.col(k2))
-        slot = F.col(slot2) + F.col(turn)
+    if weights is None:
+        weighted = sources.withColumn("weight", F.col("blocks").cast("string"))
+    elif isinstance(weights, Mapping):
+        given, mean = whole_weights(weights) if weights else ({}, 1)
+        known = docs.sparkSession.createDataFrame([(s, str(w)) for s, w in given.items()], "name string, weight string")
+        weighted = sources.join(known, "name", "left").withColumn("weight", F.coalesce("weight", F.lit(str(mean))))
     else:
-        if weights is None:
-            weighted = sources.withColumn("weight", F.col("blocks").cast("string"))
-        else:
-            given, mean = whole_weights(weights)
-            known = docs.sparkSession.createDataFrame([(s, str(w)) for s, w in given.items()], "name string, weight string")
-            weighted = sources.join(known, "name", "left").withColumn("weight", F.coalesce("weight", F.lit(str(mean))))
-        slots = materialize(_scheduled(weighted.select("name", "blocks", "weight"), frame), "mix-slots").toDF(src2, k2, slot2)
-        placed = ranked.drop(src2).join(slots, (F.col(src) == F.col(src2)) & (F.col(k) == F.col(k2)))
-        slot = F.col(slot2)
-    return placed.select(*docs.columns, slot.cast("long").alias(slot_col), (F.col(rank) % block_docs).cast("long").alias(pos_col))
-
-
-def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, **more) -> DataFrame:
+        scaled = F.greatest(F.lit(1), F.round(1000 * F.pow(F.col("n").cast("double"), F.lit(float(weights)))).cast("long"))
+        weighted = sources.withColumn("weight", scaled.cast("string"))
+    slots = materialize(_scheduled(weighted.select("name", "blocks", "weight"), frame), "mix-slots").toDF(src2, k2, slot2)
+    placed = ranked.join(slots, (F.col(src) == F.col(src2)) & (F.col(k) == F.col(k2)))
+    return placed.select(*docs.columns, F.col(slot2).cast("long").alias(slot_col), (F.col(rank) % block_docs).cast("long").alias(pos_col))
+
+
+def mixed(docs: DataFrame, weights: Mapping[str, float] | float | None = None, **more) -> DataFrame:
     """``docs`` in the mixture's order (range-partitioned, so files read in order are the
     mixture), with their own columns only."""
     slot_col, pos_col = fresh(docs.columns, "mix_slot", "mix_pos")

@@ -32,9 +32,9 @@ def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents interleaved by source, every source with equal weight while it lasts."""
+    """All documents interleaved by source, each source's target weight the root of its documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs, weights={}).select("doc_id", "source", "mix_slot", "mix_pos")
+    return mixing.mix(docs, weights=0.5).select("doc_id", "source", "mix_slot", "mix_pos")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,7 +93,7 @@ def test_packing_follows_the_mixture(spark):
     rows = [(i, f"text number {i}", "en", "hot" if i % 10 else f"s{i % 4}", 10) for i in range(2000)]
     one = corpus_pipeline.materialize(spark.createDataFrame(rows, docs.schema).repartition(3), "one")
     mixed = corpus_pipeline.materialize(corpus_pipeline.mix_sources(spark, one, SF), "mixed")
-    order = [r.doc_id for r in corpus_pipeline.mixing.mix(one, {}).orderBy("mix_slot", "mix_pos").select("doc_id").collect()]
+    order = [r.doc_id for r in corpus_pipeline.mixing.mix(one, 0.5).orderBy("mix_slot", "mix_pos").select("doc_id").collect()]
     packed = corpus_pipeline.packing.best_fit(mixed, group_rows=300, in_order=True).collect()
     assert [r.doc_id for r in sorted(packed, key=lambda r: r.place)] == order and [r.bin_group for r in sorted(packed, key=lambda r: r.place)] == [i // 300 for i in range(2000)]
     as_set = lambda df: {(r.doc_id, r.place, r.bin_group, r.bin) for r in corpus_pipeline.pack(spark, df, SF).collect()}
