@@ -30,8 +30,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of a mixture with equal weights for the sources."""
-    return mixing.mixed(docs, weights={})
+    """All documents in the order of a mixture, each source's target weight the root of its documents."""
+    return mixing.mixed(docs, weights=0.5)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
