@@ -12,18 +12,23 @@ from .util import materialize, table
 
 
 def op1_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audit of the pages' WARC records against a replica derived from them, in which some
-    records have rotted (first letter overwritten) and some are missing."""
+    """Audit of the pages' WARC records against a replica derived from them: in it, some records
+    have rotted (first letter overwritten), some are missing and some are held by it alone.
+    Pages with a null id are records like others."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    good = materialize(merkle.warc_records(pages), "warc-records")
-    rotten = F.octet_length("html") % 97 == 5
-    html = F.when(rotten, F.concat(F.lit("~"), F.substring("html", 2, 2**31 - 1))).otherwise(F.col("html"))
+    size = F.coalesce(F.octet_length("html"), F.lit(0))
+    html = F.when(size % 11 == 5, F.concat(F.lit("~"), F.substring("html", 2, 2**31 - 1))).otherwise(F.col("html"))
     payload = merkle.warc_payload(html="rotted")
-    copy = pages.where(~F.coalesce(F.octet_length("html") % 211 == 7, F.lit(False))).withColumn("rotted", html)
-    copy = copy.select("page_id", F.sha2(merkle.warc_payload(), 256).alias("digest"), F.octet_length(payload).cast("long").alias("copied"), F.sha2(payload, 256).alias("copy_digest"))
+    copy = pages.withColumn("rotted", html).select(
+        F.col("page_id").cast("long").alias("copy_id"), F.sha2(merkle.warc_payload(), 256).alias("original"), F.octet_length(payload).cast("long").alias("copied"),
+        F.sha2(payload, 256).alias("copy_digest"), (size % 29 == 7).alias("lost"), (size % 31 == 3).alias("stray"),
+    )
     # the copy's records lie where the originals do
-    replica = good.join(copy.distinct(), ["page_id", "digest"]).select("file", "offset", F.col("copied").alias("length"), F.col("copy_digest").alias("digest"))
-    return merkle.audit(good, materialize(replica, "warc-replica"))
+    same = F.col("page_id").eqNullSafe(F.col("copy_id")) & (F.col("digest") == F.col("original"))
+    both = materialize(merkle.warc_records(pages).join(copy.distinct(), same), "warc-records")
+    good = both.where("not stray").select("file", "offset", "length", "digest")
+    replica = both.where("not lost").select("file", "offset", F.col("copied").alias("length"), F.col("copy_digest").alias("digest"))
+    return merkle.audit(good, replica)
 
 
 def op2_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,19 +197,19 @@ WITH parts AS (
          'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: '
            || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' AS head,
          chr(13) || chr(10) || chr(13) || chr(10) AS gap, coalesce(html, '') AS body,
-         CASE WHEN strlen(html) % 97 = 5 THEN '~' || substr(html, 2) ELSE coalesce(html, '') END AS rotted,
-         coalesce(strlen(html) % 211 = 7, false) AS lost
+         CASE WHEN strlen(html) % 11 = 5 THEN '~' || substr(html, 2) ELSE coalesce(html, '') END AS rotted,
+         coalesce(strlen(html) % 29 = 7, false) AS lost, coalesce(strlen(html) % 31 = 3, false) AS stray
   FROM pages),
 records AS (
-  SELECT page_id, file, lost, head || strlen(body) || gap || body || gap AS a, head || strlen(rotted) || gap || rotted || gap AS b FROM parts),
+  SELECT page_id, file, lost, stray, head || strlen(body) || gap || body || gap AS a, head || strlen(rotted) || gap || rotted || gap AS b FROM parts),
 placed AS (
-  SELECT file, lost, strlen(a) AS length_a, strlen(b) AS len_b, sha256(a) AS digest_a, sha256(b) AS dig_b,
+  SELECT file, lost, stray, strlen(a) AS length_a, strlen(b) AS len_b, sha256(a) AS digest_a, sha256(b) AS dig_b,
          sum(strlen(a)) OVER (PARTITION BY file ORDER BY page_id) - strlen(a) AS "offset"
   FROM records)
 SELECT file, CAST("offset" // 65536 AS BIGINT) AS leaf, CAST("offset" AS BIGINT) AS "offset",
-       CASE WHEN lost THEN 'missing' ELSE 'changed' END AS kind, length_a,
-       CASE WHEN NOT lost THEN len_b END AS length_b, digest_a, CASE WHEN NOT lost THEN dig_b END AS digest_b
-FROM placed WHERE lost OR digest_a <> dig_b
+       CASE WHEN lost THEN 'missing' WHEN stray THEN 'extra' ELSE 'changed' END AS kind, CASE WHEN NOT stray THEN length_a END AS length_a,
+       CASE WHEN NOT lost THEN len_b END AS length_b, CASE WHEN NOT stray THEN digest_a END AS digest_a, CASE WHEN NOT lost THEN dig_b END AS digest_b
+FROM placed WHERE NOT (lost AND stray) AND (lost OR stray OR digest_a <> dig_b)
 """,
     "op4_line_dedup": r"""
 WITH lines AS (

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aqualedger.llm import merkle
+from aqualedger.llm import merkle, queries
 
 PAGES = [(i, f"http://h/{i}", f"<p>{i}</p>" * (i % 40)) for i in range(300)] + [(None, None, None), (5, "http://h/5", "twin"), (5, "http://h/5", "twin"), (400, "u", ""), (401, None, "x" * 300_000)]
 
@@ -64,3 +64,18 @@ def test_hot_and_null_ids(spark, monkeypatch):
         assert own[0].offset == 0 and all(a.offset + a.length == b.offset for a, b in zip(own, own[1:]))
         keys = [(2**63 - 1 if r.page_id is None else r.page_id, r.digest) for r in own]
         assert keys == sorted(keys)
+
+
+def test_query_counts_pages_without_an_id(spark, tmp_path):
+    """The registered audit reports what was planted, and nothing else, for null and repeated ids too."""
+    pages = [(i if i % 3 else None, f"u{i}", "x" * (i % 400)) for i in range(600)] + [(7, "twin", "y" * 16)] * 3 + [(None, None, None)] * 2
+    spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    want = {"changed": 0, "missing": 0, "extra": 0}
+    for _, _, html in pages:
+        n = len(html or "")
+        rotten, lost, stray = n % 11 == 5, n % 29 == 7, n % 31 == 3
+        kind = None if lost and stray else "missing" if lost else "extra" if stray else "changed" if rotten else None
+        if kind:
+            want[kind] += 1
+    got = [r.kind for r in queries.op1_merkle_fixity(spark, str(tmp_path)).collect()]
+    assert {k: got.count(k) for k in want} == want and min(want.values()) > 5
