@@ -3,8 +3,8 @@
 All rolling word pairs of every text are joined by hash to the positions at which license
 templates hold them.  A match at text word i and template word j votes for the diagonal
 i - j; a diagonal with all of a template's pairs is a verbatim place.  Neighbouring
-diagonals of one template (words inserted or left out) merge into a span, which is
-verified by the share of the template's pairs that it covers and by its length."""
+diagonals of one template (words inserted or left out) merge into a span, as long as its
+length fits, and the span is verified by the share of the template's pairs that it covers."""
 
 from __future__ import annotations
 
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from .util import ascii_lower, materialize, order_id, whole_text
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-MAX_WORDS = 64  # a template's pairs fit the bits of a long
 
 # Phrases and labels that a scan must report.
 BASE_PHRASES = [
@@ -61,8 +60,8 @@ def template_positions(spark: SparkSession, templates: list[Template]) -> DataFr
     rows = []
     for t, x in enumerate(templates):
         words = x.phrase.split()
-        if not 2 <= len(words) <= MAX_WORDS:
-            raise ValueError(f"a template has 2 to {MAX_WORDS} words: {x.phrase[:60]!r}")
+        if len(words) < 2:
+            raise ValueError(f"a template has at least two words: {x.phrase!r}")
         rows += [(" ".join(words[j : j + 2]), t, j, len(words) - 1, x.base, x.label) for j in range(len(words) - 1)]
     frame = spark.createDataFrame(rows, "tpair string, template int, tpos int, pairs int, base boolean, label string")
     return frame.withColumn("h", F.xxhash64("tpair"))
@@ -77,32 +76,49 @@ def license_spans(
 
     ``id`` is the doc_id (LAST_ID for null) and ``tag`` the text's hash, which tells rows of
     one id apart; rows that repeat both are scanned as one.  A span of another template
-    covers at least ``min_cover`` of its pairs within ``max_stretch`` times its length."""
+    covers at least ``min_cover`` of its pairs within ``max_stretch`` times its length.  Every
+    diagonal begins a span, which takes those up to ``max_shift`` beyond its last one that add
+    pairs and still fit; of spans that overlap, the best cover (then the shortest, then the
+    first) is returned.  Templates have any length.  Null, empty and one-word texts have no
+    spans, an empty table has none."""
     text = whole_text(text_col)
     rows = docs.select(order_id(id_col).alias("id"), F.xxhash64(text).alias("tag"), words_of(text).alias("words"))
     pairs = F.zip_with(F.expr("slice(words, 1, greatest(size(words) - 1, 0))"), F.expr("slice(words, 2, greatest(size(words) - 1, 1))"), lambda a, b: F.concat(a, F.lit(" "), b))
     rolled = rows.select("id", "tag", F.posexplode(pairs).alias("pos", "pair")).withColumn("h", F.xxhash64("pair"))
-    known = template_positions(docs.sparkSession, templates or TEMPLATES)  # a fixed list of short phrases
+    templates = templates or TEMPLATES
+    known = template_positions(docs.sparkSession, templates)  # as long as the templates' texts, given by the caller
     votes = rolled.join(F.broadcast(known), "h").where("pair = tpair")
     diagonals = materialize(
         votes.select("id", "tag", "template", "label", "base", "pairs", "pos", "tpos", (F.col("pos") - F.col("tpos")).alias("diagonal"))
         .groupBy("id", "tag", "template", "label", "base", "pairs", "diagonal")
-        .agg(F.bit_or(F.expr("shiftleft(1L, tpos)")).alias("seen"), F.min("pos").alias("lo"), F.max("pos").alias("hi")),
+        .agg(F.collect_set("tpos").alias("seen"), F.min("pos").alias("lo"), F.max("pos").alias("hi")),
         "diagonals",
     )
-    exact = diagonals.where("base and bit_count(seen) = pairs").select(
+    exact = diagonals.where("base and size(seen) = pairs").select(
         "id", "tag", "template", "label", "base", F.col("lo").alias("first_word"), (F.col("hi") + 1).alias("last_word"), F.lit(1.0).alias("cover")
     )
-    by = W.partitionBy("id", "tag", "template").orderBy("diagonal")
-    loose = diagonals.where("not base").withColumn("apart", (F.col("diagonal") - F.lag("diagonal").over(by) > max_shift).cast("int"))
-    merged = (
-        loose.withColumn("span", F.sum(F.coalesce("apart", F.lit(0))).over(by))
-        .groupBy("id", "tag", "template", "label", "base", "pairs", "span")
-        .agg(F.bit_or("seen").alias("seen"), F.min("lo").alias("first_word"), (F.max("hi") + 1).alias("last_word"))
-        .withColumn("cover", F.bit_count("seen") / F.col("pairs"))
-        .where((F.col("cover") >= min_cover) & (F.col("last_word") - F.col("first_word") <= F.col("pairs") * max_stretch))
-    )
-    return exact.unionByName(merged.select(exact.columns))
+    # a span's length bounds how far apart its diagonals are
+    reach = int(max(len(x.phrase.split()) for x in templates) * max_stretch) + 1
+    key = ["id", "tag", "template", "label", "base", "pairs"]
+    beyond = W.partitionBy("id", "tag", "template").orderBy("diagonal").rangeBetween(0, reach)
+    near = diagonals.where("not base").select(*key, F.array_sort(F.collect_list(F.struct("diagonal", "lo", "hi", "seen")).over(beyond)).alias("near"))
+
+    def grown(span: Column, x: Column) -> Column:
+        lo, hi, seen = F.least(span["lo"], x["lo"]), F.greatest(span["hi"], x["hi"]), F.array_union(span["seen"], x["seen"])
+        fits = (x["diagonal"] - span["diagonal"] <= max_shift) & (hi + 1 - lo <= F.col("pairs") * max_stretch) & (F.size(seen) > F.size(span["seen"]))
+        return F.when(fits, F.struct(x["diagonal"].alias("diagonal"), lo.alias("lo"), hi.alias("hi"), seen.alias("seen"))).otherwise(span)
+
+    span = F.aggregate(F.expr("slice(near, 2, size(near))"), F.get("near", F.lit(0)), grown)
+    spans = near.select(*key, span.alias("s")).select(
+        *key, F.col("s.lo").alias("first_word"), (F.col("s.hi") + 1).alias("last_word"), (F.size("s.seen") / F.col("pairs")).alias("cover")
+    ).where((F.col("cover") >= min_cover) & (F.col("last_word") - F.col("first_word") <= F.col("pairs") * max_stretch))
+    order = W.partitionBy("id", "tag", "template").orderBy("first_word", "last_word")
+    clear = F.col("first_word") > F.max("last_word").over(order.rowsBetween(W.unboundedPreceding, -1))
+    islands = spans.withColumn("clear", F.coalesce(clear, F.lit(False)).cast("int")).withColumn("island", F.sum("clear").over(order))
+    merged = islands.groupBy("id", "tag", "template", "label", "base", "island").agg(
+        F.min(F.struct((-F.col("cover")).alias("c"), (F.col("last_word") - F.col("first_word")).alias("long"), "first_word", "last_word", "cover")).alias("best")
+    ).select("id", "tag", "template", "label", "base", "best.first_word", "best.last_word", "best.cover")
+    return exact.unionByName(merged)
 
 
 def license_scan(docs: DataFrame, templates: list[Template] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

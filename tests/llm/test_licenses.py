@@ -47,3 +47,21 @@ def test_empty_table_and_native_plan(spark):
     assert out.count() == 0
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_labels_survive_overlapping_phrases_and_long_templates(spark):
+    long_words = [f"w{i % 40}x{i // 40}" for i in range(300)]
+    cut = long_words[:100] + ["two", "more"] + long_words[100:200] + long_words[203:]
+    texts = [
+        (1, "GNU Lesser General Public License, General Public License"), (2, "General Public License, GNU Lesser General Public License"),
+        (3, "GNU Lesser General Public License " * 4), (4, " ".join(long_words)), (5, "x " + " ".join(cut) + " y"), (6, " ".join(long_words[:150])),
+        (7, f"{NOTICE} and more of it: {NOTICE}"),
+    ]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    templates = [*licenses.TEMPLATES, licenses.Template(" ".join(long_words), "long", False)]
+    got = {r.doc_id: r for r in licenses.license_scan(df, templates).collect()}
+    assert [got[i].labels for i in (1, 2, 3)] == ["gpl,lgpl"] * 3
+    assert got[4].labels == got[5].labels == "long" and got[4].score == 1.0 and 0.9 < got[5].score < 1 and got[6].labels == ""
+    spans = licenses.license_spans(df.where("doc_id = 7")).where("not base").orderBy("first_word").collect()
+    n = len(re.findall(r"\w+", NOTICE))
+    assert [(r.first_word, r.last_word, r.cover) for r in spans] == [(0, n - 1, 1.0), (n + 4, 2 * n + 3, 1.0)]
