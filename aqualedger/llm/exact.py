@@ -3,8 +3,9 @@
 The text is read once, for its SHA-256.  Pass one counts the Bloom slots of all digests
 (partially aggregated longs) and keeps the slots that were hit twice or more, as bitmaps.
 Pass two probes them: digests with a slot hit only once are surely unique and pass straight
-through; only the rest shuffle by digest.  The bitmaps are bounded by ``max_filter_bits``
-whatever the input; a smaller filter only lets more unique rows into the shuffle."""
+through; only the rest shuffle by digest.  A filter has at most ``max_filter_bits``: beyond the
+rows that fit, digests are dealt to parts, each with a filter of its own, one after the other,
+so the share of unique rows that pass straight through does not fall with the input."""
 
 from __future__ import annotations
 
@@ -54,11 +55,23 @@ def exact_dedup(
     Texts are equal when identical (by SHA-256); null counts as empty.  The largest doc_id of
     equal texts stays; null ids are smaller than all others.  Repeated rows each count in
     group_size, and rows that repeat the kept doc_id are all marked kept.  Other columns are
-    not read."""
+    not read.  Very long texts count as one digest; an empty table gives no rows."""
     rows = materialize(
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.sha2(whole_text(text_col), 256)).alias("digest")), "digests"
     )
-    bits = min(max_filter_bits, 1 << max(15, (rows.count() * bits_per_row - 1).bit_length()))
+    wanted = rows.count() * bits_per_row
+    parts = max(1, -(-wanted // max_filter_bits))
+    if parts == 1:
+        return _filtered(rows, min(max_filter_bits, 1 << max(15, (wanted - 1).bit_length())), hashes)
+    # sorted within each task's file, so a part reads only its own pages of them
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("digest", F.lit("part")), F.lit(parts)).cast("int"))
+    dealt = materialize(dealt.sortWithinPartitions("part"), "digest-parts")
+    done = [materialize(_filtered(dealt.where(F.col("part") == p).drop("part"), max_filter_bits, hashes), f"exact-{p}") for p in range(parts)]
+    return reduce(DataFrame.unionByName, done)
+
+
+def _filtered(rows: DataFrame, bits: int, hashes: int) -> DataFrame:
+    """The result for rows of (doc_id, digest) through one filter."""
     pages = materialize(repeated_slots(rows, bits, hashes), "bloom")
     probed = possibly_repeated(rows, pages, bits, hashes)
     alone = probed.where("not maybe").select(

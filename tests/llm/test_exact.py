@@ -39,6 +39,12 @@ def test_a_full_filter_loses_nothing(spark):
     check(spark, bits_per_row=1, hashes=1, max_filter_bits=64)
 
 
+def test_rows_beyond_one_filter_still_pass(spark):
+    found = check(spark, max_filter_bits=1 << 10)  # six parts
+    assert not any(r.passed for r in found if r.group_size > 1)
+    assert sum(r.passed for r in found) >= 285  # of 303 unique rows
+
+
 def test_empty_table_and_native_plan(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     out = exact.exact_dedup(df)
