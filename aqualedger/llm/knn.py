@@ -4,7 +4,8 @@ All vectors fall to the nearest of a set of pivots, themselves rows.  A query's
 scores against the pivots give a lower bound on its k-th best score; a cell's summary
 (its radius around the pivot) gives an upper bound on any score in it, q.p + |q| r.  Queries
 are grouped by pivots, and a cell's rows go only to the groups in which some query's bounds
-leave it open.  Groups solve each block of a cell locally; the best k are merged."""
+leave it open.  Groups solve each block of a cell locally; the best k are merged.  Scores that
+doubles or 64-bit integers cannot hold are computed with Python's integers."""
 
 from __future__ import annotations
 
@@ -20,6 +21,9 @@ from pyspark.sql import Window as W
 from .util import materialize
 
 SLACK = 1e-6  # relative, against rounding of the bounds' square roots
+ROUNDING = 1e-9  # relative, far above the rounding of a sum of products in doubles
+EXACT = 2.0**53  # whole numbers below are exact in doubles
+LARGEST = 2**63 - 1
 
 
 @dataclass(frozen=True)
@@ -30,32 +34,75 @@ class Settings:
 
 
 def as_matrix(vectors: pd.Series) -> np.ndarray:
-    """Integer rows, padded with zeros to the longest of them."""
-    rows = [np.asarray(v, dtype=np.int64) for v in vectors]
-    out = np.zeros((len(rows), max(map(len, rows), default=0)), np.int64)
+    """Rows of whole numbers, padded with zeros to the longest of them."""
+    rows = [np.asarray(v, dtype=np.float64) for v in vectors]
+    out = np.zeros((len(rows), max(map(len, rows), default=0)))
     for i, v in enumerate(rows):
         out[i, : len(v)] = v
     return out
 
 
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of all rows of a and b."""
+    """Exact inner products of all rows of a and b: 64-bit integers, or Python's where a product
+    of some row may not fit."""
     width = min(a.shape[1], b.shape[1])
     a, b = a[:, :width], b[:, :width]
     if not width or not len(a) or not len(b):
         return np.zeros((len(a), len(b)), np.int64)
-    bound = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * width
-    if bound < 2.0**53:  # exact in doubles, and fast
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    if bound < 2.0**62:
-        return a @ b.T
-    raise ValueError("scores do not fit a 64-bit integer")
+    most, more = np.abs(a).max(axis=1), np.abs(b).max(axis=1)
+    with np.errstate(over="ignore"):
+        if most.max() * more.max() * width < EXACT:  # exact in doubles, and fast
+            return (a @ b.T).astype(np.int64)
+        # a row is small if its products with all small rows of the other side are exact
+        limit = (EXACT / width) ** 0.5
+        small, fine = most < limit, more < limit
+    out = np.zeros((len(a), len(b)), object)
+    out[np.ix_(small, fine)] = (a[small] @ b[fine].T).astype(np.int64).astype(object)
+    as_int = lambda x: [[int(c) for c in row] for row in x]
+    left, right = as_int(a), as_int(b)
+    for i, j in zip(*np.nonzero(~small[:, None] | ~fine[None, :])):
+        out[i, j] = sum(x * y for x, y in zip(left[i], right[j]))
+    return out
+
+
+def rounded(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Inner products in doubles and a bound on their error (0 where they are exact); what no
+    double holds is nan or infinite."""
+    width = min(a.shape[1], b.shape[1])
+    a, b = a[:, :width], b[:, :width]
+    with np.errstate(over="ignore", invalid="ignore"):
+        scores, size = a @ b.T, np.abs(a) @ np.abs(b).T
+        return scores, np.where(size < EXACT, 0.0, size * ROUNDING)
+
+
+def squares(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (x**2).sum(axis=1)
+
+
+def as_long(scores: list[int]) -> list[int]:
+    """Scores as 64-bit integers, the nearest where they do not fit."""
+    return [max(-LARGEST, min(LARGEST, int(x))) for x in scores]
+
+
+def beyond(score: int) -> str:
+    """Orders, as text, the scores that ``as_long`` makes equal: '' if it fits."""
+    score = int(score)
+    if abs(score) < LARGEST:
+        return ""
+    digits = str(abs(score))
+    size = f"{len(digits):04d}{digits}"
+    return size if score > 0 else size.translate(str.maketrans("0123456789", "9876543210"))
 
 
 def top(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> list[np.ndarray]:
     """Per row of ``scores``: positions of the k best, ties to the smaller id, own id left out."""
     out = []
     for row, me in zip(scores, own):
+        if row.dtype == object:
+            at = np.flatnonzero(ids != me)
+            out.append(np.array(sorted(at, key=lambda j: (-row[j], ids[j]))[:k], np.int64))
+            continue
         if len(row) > 4 * k + 8:
             kth = np.partition(row, len(row) - k - 1)[len(row) - k - 1]  # one more than k, for the own row
             at = np.flatnonzero(row >= kth)
@@ -73,7 +120,7 @@ class Cells:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.norms = (vectors.astype(float) ** 2).sum(axis=1)
+        self.norms = squares(vectors)
         self.radius = np.zeros(len(ids))
         self.first_block = np.zeros(len(ids), np.int64)
         self.blocks = np.zeros(len(ids), np.int64)
@@ -91,30 +138,40 @@ class Cells:
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(cell, distance) of each row; ties go to the first pivot."""
-        own = (x.astype(float) ** 2).sum(axis=1)
-        gap = own[:, None] + self.norms[None, :] - 2.0 * inner(x, self.vectors)
+        own = squares(x)
+        scores, error = rounded(x, self.vectors)
+        with np.errstate(over="ignore", invalid="ignore"):
+            gap = own[:, None] + self.norms[None, :] - 2.0 * scores
+            gap += 2.0 * error + np.where(gap + 2.0 * np.abs(scores) < EXACT, 0.0, ROUNDING * (own[:, None] + self.norms[None, :]))
+        gap = np.nan_to_num(gap, nan=np.inf)  # beyond doubles: as far as can be
         cell = gap.argmin(axis=1)
         return cell, np.sqrt(np.maximum(gap[np.arange(len(x)), cell], 0))
 
     def open_cells(self, q: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(floor, open): each query's proven lower bound on its k-th score, and whether a cell
         may hold a score of at least that."""
-        scores = inner(q, self.vectors)
-        real = np.where(self.ids[None, :] == ids[:, None], -np.inf, scores.astype(float))
-        floor = np.sort(real, axis=1)[:, -k] if real.shape[1] >= k else np.full(len(q), -np.inf)
-        reach = np.sqrt((q.astype(float) ** 2).sum(axis=1))[:, None] * self.radius[None, :]
-        high = scores + reach
-        high += SLACK * (np.abs(scores) + reach + 1)
-        return floor, (high >= floor[:, None]) & (self.blocks > 0)[None, :]
+        scores, error = rounded(q, self.vectors)
+        with np.errstate(over="ignore", invalid="ignore"):
+            low = np.nan_to_num(scores - error, nan=-np.inf)
+            real = np.where(self.ids[None, :] == ids[:, None], -np.inf, low)
+            floor = np.sort(real, axis=1)[:, -k] if real.shape[1] >= k else np.full(len(q), -np.inf)
+            floor = np.where(np.abs(floor) < EXACT, floor, floor - SLACK * np.abs(floor))  # below the true k-th score
+            floor = np.where(np.isfinite(floor), floor, -np.inf)
+            reach = np.sqrt(squares(q))[:, None] * self.radius[None, :]
+            high = scores + error + reach
+            high += SLACK * (np.abs(scores) + reach + 1)
+        return floor, (np.nan_to_num(high, nan=np.inf, neginf=np.inf) >= floor[:, None]) & (self.blocks > 0)[None, :]
 
 
 def quantized(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of every component; vectors that are null, or hold null or
-    non-finite components, are left out, as are null ids and repeats of a whole row."""
+    """(vec_id, v): floor(scale * x) of every component, a whole number in a double, exact at any
+    size; vectors that are null, or hold null or non-finite components (also scale * x), are left
+    out, as are null ids and repeats of a whole row."""
     c = F.col(vector_col).cast("array<double>")
-    sound = F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    whole = lambda y: F.when(F.abs(y) < EXACT, F.floor(y).cast("double")).otherwise(y)  # noqa: E731  larger doubles are whole
+    sound = F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) < float("inf")))
     rows = vectors.where(F.col(id_col).isNotNull() & c.isNotNull()).where(F.coalesce(sound, F.lit(False)))
-    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(c, lambda x: F.floor(x * scale).cast("long")).alias("v")).distinct()
+    return rows.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(c, lambda x: whole(x * scale)).alias("v")).distinct()
 
 
 def _pivots(rows: DataFrame, n: int, s: Settings) -> Cells:
@@ -125,13 +182,14 @@ def _pivots(rows: DataFrame, n: int, s: Settings) -> Cells:
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 5, s: Settings = Settings()) -> DataFrame:
-    """``rows`` (vec_id long, v array of long) -> (query_id, rank from 1, vec_id, score): for each
+    """``rows`` (vec_id long, v array of whole doubles) -> (query_id, rank from 1, vec_id, score): for each
     row that ``is_query`` picks, its k highest inner products with rows of other ids (all, if
     fewer), ties to the smaller vec_id.
 
     Vectors of different lengths are compared as if padded with zeros.  If an id has several
     vectors, each is a candidate of its own, and as queries they are answered together: the
-    best k over all of them."""
+    best k over all of them.  Ranks follow exact scores of any size; a score beyond 64 bits is
+    returned as the nearest long.  An empty table, or one vector alone, gives no rows."""
     rows = materialize(rows, "vectors")
     n = rows.count()
     schema = "query_id long, rank int, vec_id long, score long"
@@ -146,7 +204,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, s: Settings = Settings(
 
     placed = materialize(
         rows.select("vec_id", "v", F.coalesce(is_query, F.lit(False)).alias("is_query")).mapInPandas(
-            assign, "vec_id long, v array<long>, is_query boolean, cell long, gap double"
+            assign, "vec_id long, v array<double>, is_query boolean, cell long, gap double"
         ), "cells",
     )
     summary = placed.groupBy("cell").agg(F.max("gap").alias("r"), F.count("*").alias("n")).collect()  # at most a row per pivot
@@ -175,7 +233,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, s: Settings = Settings(
             yield pdf.assign(floor=floor, opened=[np.flatnonzero(o) for o in opened])
 
     # queries meet the blocks of the cells that their own bounds leave open
-    opened = materialize(queries.mapInPandas(bounds, "g int, part int, vec_id long, v array<long>, floor double, opened array<long>"), "open-cells")
+    opened = materialize(queries.mapInPandas(bounds, "g int, part int, vec_id long, v array<double>, floor double, opened array<long>"), "open-cells")
     firsts = F.array(*[F.lit(int(b)) for b in cells.first_block])
     counts = F.array(*[F.lit(int(b)) for b in cells.blocks])
 
@@ -199,10 +257,12 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, s: Settings = Settings(
                 own = part["vec_id"].to_numpy(np.int64)
                 scores = inner(as_matrix(part["v"]), vectors)
                 for i, best in enumerate(top(scores, ids, own, k)):
-                    best = best[scores[i, best] >= part["floor"].iat[i]]
-                    out.append(pd.DataFrame({"query_id": own[i], "vec_id": ids[best], "score": scores[i, best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
-
-    local = asked.groupBy("g", "part", "block").cogroup(sent.groupBy("to_g", "to_part", "block")).applyInPandas(solve, "query_id long, vec_id long, score long")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+                    best = np.array([j for j in best if scores[i, j] >= part["floor"].iat[i]], np.int64)
+                    found = [scores[i, j] for j in best]
+                    out.append(pd.DataFrame({"query_id": own[i], "vec_id": ids[best], "score": as_long(found), "beyond": list(map(beyond, found))}))
+        found = pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "beyond": []}, dtype=np.int64)
+        return found.astype({"beyond": object})
+
+    local = asked.groupBy("g", "part", "block").cogroup(sent.groupBy("to_g", "to_part", "block")).applyInPandas(solve, "query_id long, vec_id long, score long, beyond string")
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     return local.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

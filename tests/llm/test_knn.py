@@ -12,7 +12,7 @@ def brute(rows, every, k=5):
     v = []
     for i, x in rows:
         if i is not None and x is not None and all(c is not None and math.isfinite(c) for c in x):
-            v.append((i, tuple(math.floor(256 * c) for c in x)))
+            v.append((i, tuple(int(256 * c // 1) for c in x)))
     v = sorted(set(v))
     out = {}
     for q in sorted({i for i, _ in v if i % every == 0}):
@@ -49,6 +49,16 @@ def test_odd_rows(spark):
     assert run(spark, rows, k=3) == brute(rows, 5, 3)
 
 
+def test_large_components_are_ranked_exactly(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(60)]
+    rows += [(100, [1e20, 0.0, 1.0, -1.0]), (101, [-1e20, 3.0, 0.0, 0.0]), (105, [1e20, 0.0, 1.0, 0.5]), (110, [1e9, 1e9, 1.0, 0.0]), (111, [1e160] * 4), (115, [-1e160] * 4), (120, [1e308, 0.0, 0.0, 0.0])]
+    clamp = lambda x: max(-knn.LARGEST, min(knn.LARGEST, x))
+    want = {q: [(i, clamp(x)) for i, x in best] for q, best in brute([r for r in rows if r[0] != 120], 5).items()}
+    assert run(spark, rows) == want
+    assert run(spark, rows, max_pivots=7, rows_per_block=20, queries_per_group=10) == want
+
+
 def test_tiny_and_empty(spark):
     assert run(spark, [(0, [1.0])]) == {} and run(spark, []) == {}
     assert run(spark, [(0, [1.0]), (3, [2.0])]) == {0: [(3, 256 * 512)]}
