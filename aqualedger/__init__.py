@@ -7,8 +7,9 @@ bill date for a date window.  Every step is a DataFrame function built from Spar
 built-ins.
 """
 
+from .functions.datekeys import date_range, window_keys
 from .operators.transactions import transactions
 from .sources.landing import BillingTables, conform, read_tables
 from .sources.sinks import land_tables, write_months
 
-__all__ = ["BillingTables", "conform", "land_tables", "read_tables", "transactions", "write_months"]
+__all__ = ["BillingTables", "conform", "date_range", "land_tables", "read_tables", "transactions", "window_keys", "write_months"]

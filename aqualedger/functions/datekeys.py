@@ -8,8 +8,10 @@ function here is a built-in column expression, so it stays inside whole-stage co
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_MDY = 99999999  # eight digits: the widest value the zero-padded format can hold
@@ -33,17 +35,65 @@ def key_to_date(key: int) -> dt.date:
     return dt.date(key // 10000, key // 100 % 100, key % 100)
 
 
-def key_in_range(ts: Column | str, start_key: int, end_key: int) -> Column:
+@dataclass(frozen=True)
+class RelationKey:
+    """A ``YYYYMMDD`` date in a column of a one-row relation.
+
+    Each filter reads it as an uncorrelated scalar subquery, which Spark runs once before the
+    scan and turns into a literal: it prunes partitions and row groups like a number known
+    when the query is planned.  A relation without rows, or with a NULL, gives no rows;
+    one of several rows is an error.
+    """
+
+    relation: DataFrame
+    column: str
+
+    def value(self, derived: Callable[[Column], Column] = lambda key: key) -> Column:
+        """A value derived from the date inside the subquery, so the scan sees a bare literal."""
+        return self.relation.select(derived(F.col(self.column).cast("int")).alias(self.column)).scalar()
+
+
+DateKey = int | RelationKey
+
+
+def date_range(spark: SparkSession, start_key: int, end_key: int) -> DataFrame:
+    """The one-row window relation (start_date, end_date)."""
+    return spark.range(1).select(F.lit(start_key).alias("start_date"), F.lit(end_key).alias("end_date"))
+
+
+def window_keys(relation: DataFrame, start: str = "start_date", end: str = "end_date") -> tuple[RelationKey, RelationKey]:
+    """The bounds of a one-row window relation, for the functions that take a first and a last
+    bill date: ``transactions(t, *window_keys(relation))``."""
+    return RelationKey(relation, start), RelationKey(relation, end)
+
+
+def in_window(key: Column | str, start_key: DateKey, end_key: DateKey) -> Column:
+    """``key BETWEEN start_key AND end_key`` for a ``YYYYMMDD`` column."""
+    low, high = (b.value() if isinstance(b, RelationKey) else F.lit(b) for b in (start_key, end_key))
+    return _c(key).between(low, high)
+
+
+def _midnight(key: RelationKey, days_later: int = 0) -> Column:
+    """The first instant of the date, or of a later one; NULL if it is no date."""
+    return key.value(lambda k: F.date_add(F.try_to_date(k.cast("string"), "yyyyMMdd"), days_later).cast("timestamp_ntz"))
+
+
+def key_in_range(ts: Column | str, start_key: DateKey, end_key: DateKey) -> Column:
     """``date_key(ts) BETWEEN start_key AND end_key`` written so the scan can use it.
 
     A cast of a timestamp to date compared with date literals is unwrapped by Catalyst
     into a timestamp range, which reaches the Parquet ``PushedFilters``; the arithmetic
-    key does not.
+    key does not.  A relation's dates are no literals when the query is planned, so their
+    range is written out.
     """
+    if isinstance(start_key, RelationKey) or isinstance(end_key, RelationKey):
+        if not (isinstance(start_key, RelationKey) and isinstance(end_key, RelationKey)):
+            raise ValueError("a window's first and last bill date are both numbers or both of a relation")
+        return (_c(ts) >= _midnight(start_key)) & (_c(ts) < _midnight(end_key, 1))
     return F.to_date(_c(ts)).between(F.lit(key_to_date(start_key)), F.lit(key_to_date(end_key)))
 
 
-def in_months(df: DataFrame, start_key: int, end_key: int, month_col: str = "bill_month") -> DataFrame:
+def in_months(df: DataFrame, start_key: DateKey, end_key: DateKey, month_col: str = "bill_month") -> DataFrame:
     """Add a partition filter on ``month_col`` (YYYYMM) covering the window when the
     table is month-partitioned; otherwise return ``df`` unchanged.  Spark cannot derive
     this filter from a bill-date predicate by itself."""
@@ -51,7 +101,11 @@ def in_months(df: DataFrame, start_key: int, end_key: int, month_col: str = "bil
         raise ValueError("a window needs both its first and its last bill date")
     if month_col not in df.columns:
         return df
-    return df.where(F.col(month_col).between(start_key // 100, end_key // 100))
+    low, high = (
+        b.value(lambda k: F.floor(k / 100).cast("int")) if isinstance(b, RelationKey) else F.lit(b // 100)
+        for b in (start_key, end_key)
+    )
+    return df.where(F.col(month_col).between(low, high))
 
 
 def mdy_key(n: Column | str, strict: bool = True) -> Column:

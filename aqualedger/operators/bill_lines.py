@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.codes import CODE_BILLING_RECORD
-from ..functions.datekeys import in_months
+from ..functions.datekeys import DateKey, in_months, in_window
 from .joins import split_join
 
 # The 15 line columns, by position; names come from the flat-rate branch.
@@ -42,14 +42,14 @@ def _as_line(df: DataFrame) -> DataFrame:
 def bill_headers(
     histf: DataFrame,
     customers: DataFrame,
-    start_key: int | None = None,
-    end_key: int | None = None,
+    start_key: DateKey | None = None,
+    end_key: DateKey | None = None,
 ) -> DataFrame:
     """Billing records (code 99) with the customer's CIS number and premise.  Built once
     and shared by both branches; a customer listed twice fans out here."""
     hf = histf.where(F.col("cihis_code") == CODE_BILLING_RECORD)
     if start_key is not None:
-        hf = in_months(hf, start_key, end_key).where(F.col("cihis_date").between(start_key, end_key))
+        hf = in_months(hf, start_key, end_key).where(in_window("cihis_date", start_key, end_key))
     hf = hf.select("cihis_cust", "cihis_date", "cihis_reference")
     wcm = customers.select("customernumber", "cisnumberofbilledaccount", "premisenumber")
     return hf.join(wcm, F.col("cihis_cust") == F.col("customernumber"), "left").drop("customernumber")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import TXN_BLOCK_HEADER
-from ..functions.datekeys import date_key, in_months, key_in_range
+from ..functions.datekeys import DateKey, date_key, in_months, key_in_range
 from ..functions.text import zero_if_null_sum
 from .joins import split_left_join
 
@@ -41,7 +41,7 @@ def block_use(blocks: DataFrame, n_tiers: int = 5, only_keys: DataFrame | None =
     return blocks.groupBy(*BLOCK_KEYS).agg(*aggs)
 
 
-def block_header(hist: DataFrame, start_key: int | None = None, end_key: int | None = None) -> DataFrame:
+def block_header(hist: DataFrame, start_key: DateKey | None = None, end_key: DateKey | None = None) -> DataFrame:
     """Block-billed consumption headers (code 102) with dates turned into YYYYMMDD keys.
     With a window, only headers billed in it are read."""
     h = hist.where(F.col("transactioncode") == TXN_BLOCK_HEADER)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import CLASS_TYPE_SALES, TYPE_ITEM_RECORD, TYPE_TOTAL_BILLING, item_service_size
-from ..functions.datekeys import MAX_MDY, date_key, in_months, mdy_key, whole_days
+from ..functions.datekeys import MAX_MDY, DateKey, date_key, in_months, in_window, mdy_key, whole_days
 
 CHARGES = "decimal(28,4)"  # type of a sum of amounts
 ITEM_GROUP_KEYS = [
@@ -26,22 +26,22 @@ ITEM_GROUP_KEYS = [
 ]
 
 
-def item_records(histv: DataFrame, start_key: int | None = None, end_key: int | None = None) -> DataFrame:
+def item_records(histv: DataFrame, start_key: DateKey | None = None, end_key: DateKey | None = None) -> DataFrame:
     """Sales item records (class type 4, type code 34); a window filters the bill date
     column directly, so it reaches the scan."""
     hv = histv.where((F.col("cihis_class_type1") == CLASS_TYPE_SALES) & (F.col("cihis_type_code") == TYPE_ITEM_RECORD))
     if start_key is not None:
-        hv = in_months(hv, start_key, end_key).where(F.col("cihis_date").between(start_key, end_key))
+        hv = in_months(hv, start_key, end_key).where(in_window("cihis_date", start_key, end_key))
     return hv
 
 
-def billing_periods(histv: DataFrame, start_key: int | None = None, end_key: int | None = None) -> DataFrame:
+def billing_periods(histv: DataFrame, start_key: DateKey | None = None, end_key: DateKey | None = None) -> DataFrame:
     """Total billing records (type 95), renamed so they can join the item records.
     The type filter sits before the join: after it, unmatched items would be lost.
     They join on the item's bill date, so the item window applies to them as well."""
     tbr = histv.where(F.col("cihis_type_code") == TYPE_TOTAL_BILLING)
     if start_key is not None:
-        tbr = in_months(tbr, start_key, end_key).where(F.col("cihis_date").between(start_key, end_key))
+        tbr = in_months(tbr, start_key, end_key).where(in_window("cihis_date", start_key, end_key))
     return tbr.select(
         F.col("cihis_cust").alias("tbr_cust"),
         F.col("cihis_date").alias("tbr_date"),
@@ -50,7 +50,7 @@ def billing_periods(histv: DataFrame, start_key: int | None = None, end_key: int
     )
 
 
-def period_copies(histv: DataFrame, start_key: int | None = None, end_key: int | None = None, strict: bool = True) -> DataFrame:
+def period_copies(histv: DataFrame, start_key: DateKey | None = None, end_key: DateKey | None = None, strict: bool = True) -> DataFrame:
     """Distinct billing periods of a customer and bill date, each with the number of its
     total billing records: repeated records of a period are one row of a join.  Periods that
     give the same date keys are one (signs are dropped and, unless ``strict``, dates too wide)."""
@@ -108,8 +108,8 @@ def item_with_billing_period(histv: DataFrame, strict: bool = True) -> DataFrame
 def billable_items(
     histv: DataFrame,
     items: DataFrame,
-    start_key: int | None = None,
-    end_key: int | None = None,
+    start_key: DateKey | None = None,
+    end_key: DateKey | None = None,
     strict: bool = True,
     sorted: bool = False,
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.datekeys import in_months
+from ..functions.datekeys import DateKey, in_months, in_window
 from ..sources.landing import BillingTables
 from .bill_lines import bill_headers, bill_items_branch, bill_lines, bill_metered_branch
 from .blocks import account_premise_link, block_header, block_use, block_use_by_premise
@@ -17,8 +17,8 @@ from .usage import total_usage
 
 def bill_lines_in_window(
     t: BillingTables,
-    start_key: int | None,
-    end_key: int | None,
+    start_key: DateKey | None,
+    end_key: DateKey | None,
     strict: bool = True,
 ) -> DataFrame:
     """Distinct bill lines whose bill date is in the window.  Every branch joins on the
@@ -31,14 +31,14 @@ def bill_lines_in_window(
     )
     if start_key is not None:
         # what the join would tell Spark of the date, told to both readings of its inputs
-        usage = usage.where(F.col("billdate").between(start_key, end_key))
+        usage = usage.where(in_window("billdate", start_key, end_key))
     return bill_lines(bill_items_branch(headers, items, repeated=False), bill_metered_branch(headers, usage, repeated=False))
 
 
 def premise_block_use(
     t: BillingTables,
-    start_key: int | None,
-    end_key: int | None,
+    start_key: DateKey | None,
+    end_key: DateKey | None,
     n_tiers: int = 5,
 ) -> DataFrame:
     """Block use per premise for headers billed in the window.  Only blocks of those
@@ -84,8 +84,8 @@ def _layout(df: DataFrame, n_tiers: int, with_rate_class: bool) -> DataFrame:
 
 def transactions(
     t: BillingTables,
-    start_key: int,
-    end_key: int,
+    start_key: DateKey,
+    end_key: DateKey,
     n_tiers: int = 5,
     strict: bool = True,
     with_rate_class: bool = False,
@@ -97,16 +97,17 @@ def transactions(
     of every header on that premise and day.  The result is a bag (no final distinct).
     A premise and day with many headers is dealt to seats (``split_join``), and rows that are
     equal from here on are repeated last, after every shuffle.
+    The bounds are numbers, or ``datekeys.window_keys`` of a one-row relation.
     ``with_rate_class`` adds the rate schedule and utility type of the line's rate.
     """
     lines = bill_lines_in_window(t, start_key, end_key, strict).where(
-        F.col("cihis_date").between(start_key, end_key)
+        in_window("cihis_date", start_key, end_key)
     )
     tiers = [f"{p}_{n}" for p in ("blkuse", "blkamt", "blkrate") for n in range(1, n_tiers + 1)]
     b4 = premise_block_use(t, start_key, end_key, n_tiers).select(
         "premiseid", "billdate", "numberofdays", "tot_use", "tot_amt", *tiers
     )
-    b4 = b4.where(F.col("billdate").between(start_key, end_key))  # as the lines', before the split counts its rows
+    b4 = b4.where(in_window("billdate", start_key, end_key))  # as the lines', before the split counts its rows
     j = split_join(lines, b4, [("premisenumber", "premiseid"), ("cihis_date", "billdate")], copies="_times")
     if with_rate_class:
         # Both joins are left joins from the line on keys of the line only, so their order

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import SIZE_REGISTER, TXN_READING, register_service_size
-from ..functions.datekeys import date_key, elapsed_days, in_months, key_in_range
+from ..functions.datekeys import DateKey, date_key, elapsed_days, in_months, key_in_range
 from ..functions.text import trim_to_null
 
 USAGE_GROUP_KEYS = [
@@ -25,7 +25,7 @@ USAGE_GROUP_KEYS = [
 ]
 
 
-def readings(hist: DataFrame, start_key: int | None = None, end_key: int | None = None) -> DataFrame:
+def readings(hist: DataFrame, start_key: DateKey | None = None, end_key: DateKey | None = None) -> DataFrame:
     """Meter readings (code 2).  A window is written on the raw bill timestamp so the
     scan can use it; the bill time is a grouping key later, so this is exact."""
     ch = hist.where(F.col("transactioncode") == TXN_READING)
@@ -69,8 +69,8 @@ def total_usage(
     hist: DataFrame,
     customers: DataFrame,
     registers: DataFrame,
-    start_key: int | None = None,
-    end_key: int | None = None,
+    start_key: DateKey | None = None,
+    end_key: DateKey | None = None,
     keep_raw_billdate: bool = False,
     sorted: bool = False,
 ) -> DataFrame:

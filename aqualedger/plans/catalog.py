@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions import codes
-from ..functions.datekeys import date_key, elapsed_days, mdy_key, whole_days
+from ..functions.datekeys import date_key, date_range, elapsed_days, mdy_key, whole_days, window_keys
 from ..functions.text import trim_to_null
 from ..operators import bill_lines as bl
 from ..operators import blocks, items, rates, transactions, usage
@@ -46,6 +46,12 @@ def _q(build: Callable[[BillingTables], DataFrame]) -> Query:
     return run
 
 
+def _by_relation(t: BillingTables) -> DataFrame:
+    """The transaction table with its window read from a one-row relation."""
+    window = date_range(t.fcihistv.sparkSession, *WINDOW)
+    return transactions.transactions(t, *window_keys(window))
+
+
 def _all_lines(t: BillingTables) -> DataFrame:
     return transactions.bill_lines_in_window(t, None, None)
 
@@ -156,6 +162,7 @@ BUILDERS: dict[str, Callable[[BillingTables], DataFrame]] = {
     "bill_date_range": lambda t: transactions.bill_lines_in_window(t, *WINDOW),
     # --- final table ------------------------------------------------------------------
     "transactions": lambda t: transactions.transactions(t, *WINDOW),
+    "transactions_by_relation": _by_relation,
     # --- rate class (kept out of the default output) ------------------------------------
     "latest_effective_date": lambda t: rates.latest_effective_date(t.ciratedetail),
     "latest_rate_detail": lambda t: rates.latest_rate_detail(t.ciratemaster, t.ciratedetail),

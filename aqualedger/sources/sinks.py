@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.datekeys import key_to_date
+from ..functions.datekeys import DateKey, key_to_date
 from .landing import BillingTables
 
 
@@ -116,7 +116,7 @@ def _months_in(df: DataFrame, month: str) -> list[int]:
     return [r[0] for r in df.select(month).distinct().collect()]  # one value a month
 
 
-def create_view(t: BillingTables, name: str, start_key: int, end_key: int, **options) -> DataFrame:
+def create_view(t: BillingTables, name: str, start_key: DateKey, end_key: DateKey, **options) -> DataFrame:
     """The transaction table of a window as a temporary view ``name``."""
     from ..operators.transactions import transactions
 

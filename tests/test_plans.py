@@ -135,3 +135,66 @@ def test_every_role_is_scanned_once(spark, tmp_path):
     assert max(roles.values()) == 1, roles
     assert len(scans) <= 18 and "ReusedExchange" in plan, len(scans)
     assert sum("ratemasterid" in r and "ratedetailid" in r for r in roles) <= 2, roles  # the details, and their latest ids
+
+
+def test_window_relation_prunes_partitions_when_it_runs(spark, tmp_path):
+    """A window held by a relation: every history scan has subqueries as partition filters, reads only
+    the window's partitions, and the rows are those of the window given as numbers."""
+    import re
+
+    from aqualedger.functions.datekeys import date_range, window_keys
+    from aqualedger.plans.catalog import WINDOW
+    from aqualedger.sources.sinks import land_tables
+    from aqualedger.sources.standins import standin_tables
+
+    land_tables(standin_tables(spark, "/root/testdata/sf0.001"), str(tmp_path))
+    landed = read_tables(spark, str(tmp_path), known_schema=True)
+    out = transactions.transactions(landed, *window_keys(date_range(spark, *WINDOW)))
+    history = ("fcihistv", "fcihistf", "ciconsumptionhist", "ciconsumptionhistblock")
+    scans = [s for s in checks.scans(out) if any(f"/{n}]" in s["location"] for n in history)]
+    assert len(scans) >= 5
+    for s in scans:
+        assert s["partition_filters"].count("scalar-subquery") + s["partition_filters"].count("Subquery") >= 2, s
+    assert checks.violations(out) == []
+    got = sorted(out.collect(), key=repr)
+    assert got == sorted(transactions.transactions(landed, *WINDOW).collect(), key=repr) and got
+    read, todo = [], [out._jdf.queryExecution().executedPlan()]
+    while todo:  # partitions read by the scans that ran
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "FileSourceScanExec" and "bill_month" in node.toString():
+            metric = node.metrics().get("numPartitions")
+            read.append(metric.get().value())
+            continue
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif re.search("QueryStageExec$", kind):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    assert read and max(read) == 1, read
+
+
+def test_window_relation_bounds(spark, tables):
+    """A relation without rows or with a NULL bound gives no rows; one of two rows is an error;
+    bounds of both kinds are refused; any column names do."""
+    import pytest
+
+    from aqualedger.functions.datekeys import date_range, window_keys
+
+    def hist(*days):
+        return [dict(accountnumber=1, consumptionhistid=d, readsequence=1, transactioncode=102, billdate=dt.datetime(2021, 3, d, 23, 59, 59)) for d in days]
+
+    from aqualedger.operators.blocks import block_header
+
+    ch = tables(ciconsumptionhist=hist(1, 2, 30, 31)).ciconsumptionhist
+    ids = lambda window, **names: sorted(r.consumptionhistid for r in block_header(ch, *window_keys(window, **names)).collect())
+    assert ids(date_range(spark, 20210302, 20210330)) == [2, 30]
+    assert ids(date_range(spark, 20210302, 20210330).toDF("a", "b"), start="a", end="b") == [2, 30]
+    assert ids(spark.createDataFrame([(20210331, 20210401)], "start_date long, end_date long")) == [31]
+    assert ids(spark.createDataFrame([], "start_date int, end_date int")) == []
+    assert ids(spark.createDataFrame([(20210301, None)], "start_date int, end_date int")) == []
+    with pytest.raises(Exception, match="(?i)scalar.subquery"):
+        ids(spark.createDataFrame([(20210301, 20210331), (20210301, 20210302)], "start_date int, end_date int"))
+    with pytest.raises(ValueError):
+        block_header(ch, window_keys(date_range(spark, 20210302, 20210330))[0], 20210330)
