@@ -9,6 +9,7 @@ doubles or 64-bit integers cannot hold are computed with Python's integers."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +29,8 @@ LARGEST = 2**63 - 1
 
 @dataclass(frozen=True)
 class Settings:
-    max_pivots: int = 512
+    max_pivots: int = 16384  # about sqrt(rows) pivots are taken, in tables of at most pivot_bytes
+    pivot_bytes: int = 64 << 20
     queries_per_group: int = 4096
     rows_per_block: int = 8192
 
@@ -175,12 +177,19 @@ def quantized(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 
 
 def _pivots(rows: DataFrame, n: int, s: Settings) -> Cells:
-    """About sqrt(n) rows, at most max_pivots, spread by id hash; equal vectors count once."""
-    few = rows.orderBy(F.xxhash64("vec_id"), "vec_id", F.xxhash64("v")).limit(min(s.max_pivots, int(np.ceil(n**0.5)))).toPandas()
+    """About sqrt(n) rows, as far as max_pivots and pivot_bytes allow, spread by id hash; equal vectors count once."""
+    width = max(1, rows.agg(F.max(F.size("v"))).first()[0])
+    most = max(1, min(s.max_pivots, s.pivot_bytes // (8 * width), int(np.ceil(n**0.5))))
+    few = rows.orderBy(F.xxhash64("vec_id"), "vec_id", F.xxhash64("v")).limit(most).toPandas()
     few = few.assign(key=[tuple(v) for v in few["v"]]).drop_duplicates("key").drop_duplicates("vec_id")
     return Cells(few["vec_id"].to_numpy(np.int64), as_matrix(few["v"]))
 
 
+def _longs(values: np.ndarray) -> Column:
+    """A constant array, as one literal however many values it has."""
+    return F.from_json(F.lit(json.dumps([int(x) for x in values])), "array<long>")
+
+
 def top_k(rows: DataFrame, is_query: Column, k: int = 5, s: Settings = Settings()) -> DataFrame:
     """``rows`` (vec_id long, v array of whole doubles) -> (query_id, rank from 1, vec_id, score): for each
     row that ``is_query`` picks, its k highest inner products with rows of other ids (all, if
@@ -220,10 +229,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, s: Settings = Settings(
     splits = np.maximum(1, np.ceil(per_group / s.queries_per_group)).astype(np.int64)
 
     def with_group(df: DataFrame) -> DataFrame:
-        of = F.array(*[F.lit(int(g)) for g in cells.group])
-        split = F.array(*[F.lit(int(x)) for x in splits])
-        g = F.get(of, F.col("cell").cast("int"))
-        return df.withColumn("g", g).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.get(split, g)).cast("int"))
+        g = F.get(_longs(cells.group), F.col("cell").cast("int")).cast("int")
+        return df.withColumn("g", g).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.get(_longs(splits), g)).cast("int"))
 
     queries = with_group(placed.where("is_query")).select("g", "part", "vec_id", "v")
 
@@ -234,8 +241,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, s: Settings = Settings(
 
     # queries meet the blocks of the cells that their own bounds leave open
     opened = materialize(queries.mapInPandas(bounds, "g int, part int, vec_id long, v array<double>, floor double, opened array<long>"), "open-cells")
-    firsts = F.array(*[F.lit(int(b)) for b in cells.first_block])
-    counts = F.array(*[F.lit(int(b)) for b in cells.blocks])
+    firsts, counts = _longs(cells.first_block), _longs(cells.blocks)
 
     def blocks_of(c: Column) -> Column:
         first = F.get(firsts, c.cast("int"))

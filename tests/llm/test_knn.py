@@ -69,3 +69,18 @@ def test_bounds_close_cells():
     cells.radius[:], cells.blocks[:] = 5, 1
     floor, opened = cells.open_cells(np.array([[10, 0]]), np.array([9]), 1)
     assert floor[0] == 1000 and opened.tolist() == [[True, False]]
+
+
+def test_pivots_grow_with_the_rows(spark):
+    """About sqrt(rows) pivots, fewer where their table would pass pivot_bytes, and the same results."""
+    rng = np.random.default_rng(8)
+    v = rng.integers(-50, 50, (900, 6)).astype(float)
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(v)], "vec_id long, v array<double>")
+    assert len(knn._pivots(df, 900, knn.Settings()).ids) == 30
+    assert len(knn._pivots(df, 900, knn.Settings(pivot_bytes=480)).ids) == 10
+    assert len(knn._pivots(df, 900, knn.Settings(pivot_bytes=1)).ids) == 1
+    scores = v @ v.T
+    want = [(q, r + 1, j, int(scores[q, j])) for q in range(0, 900, 50) for r, j in enumerate(sorted((j for j in range(900) if j != q), key=lambda j: (-scores[q, j], j))[:5])]
+    for more in ({}, {"pivot_bytes": 480}, {"pivot_bytes": 1}):
+        got = knn.top_k(df, F.col("vec_id") % 50 == 0, 5, knn.Settings(**more)).collect()
+        assert sorted(map(tuple, got)) == want, more
