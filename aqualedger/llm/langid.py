@@ -2,9 +2,10 @@
 support vector machines for every two of its languages, which vote.
 
 Features are hashed letter 1- to 3-grams of the whole text, as square roots of their
-shares.  The machines are fitted in the driver on a bounded sample of labelled texts (by
-stochastic sub-gradients on the squared hinge loss, averaged); everything is predicted
-where the text lies."""
+shares.  The machines are fitted on a bounded sample of labelled texts (by stochastic
+sub-gradients on the squared hinge loss, averaged), each in a task of its own: a pair of
+languages on their texts, a family on its texts against a pool that all families share.
+Everything is predicted where the text lies."""
 
 from __future__ import annotations
 
@@ -43,7 +44,8 @@ FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in code
 class Settings:
     buckets: int = 4096
     sample_per_lang: int = 600
-    max_langs: int = 512
+    pool: int = 6000  # texts of the sample, the first by hash, that every family is told apart from
+    max_langs: int = 8192  # a machine has a row of 32 KB in the model; about 7,000 languages are spoken
     epochs: int = 30
     ridge: float = 1e-4
     families: dict[str, str] = field(default_factory=lambda: dict(FAMILY_OF))
@@ -97,14 +99,6 @@ class Machines:
     weights: np.ndarray
     intercepts: np.ndarray
 
-    @staticmethod
-    def fit(x: np.ndarray, of: np.ndarray, s: Settings) -> Machines:
-        names = sorted(set(of.tolist()))
-        if len(names) == 1:
-            return Machines(names, np.zeros((1, x.shape[1])), np.zeros(1))
-        fits = [fit_svm(x, np.where(of == n, 1.0, -1.0), s.epochs, s.ridge) for n in names]
-        return Machines(names, np.stack([w for w, _ in fits]), np.array([b for _, b in fits]))
-
     def shares(self, x: np.ndarray) -> np.ndarray:
         """Margins as shares that add up to 1, the larger the likelier."""
         m = x @ self.weights.T + self.intercepts
@@ -121,16 +115,6 @@ class Pairs:
     weights: np.ndarray
     intercepts: np.ndarray
 
-    @staticmethod
-    def fit(x: np.ndarray, of: np.ndarray, s: Settings) -> Pairs:
-        names = sorted(set(of.tolist()))
-        fits = []
-        for a, b in combinations(names, 2):  # each on the texts of its two languages alone
-            own = (of == a) | (of == b)
-            fits.append(fit_svm(x[own], np.where(of[own] == a, 1.0, -1.0), s.epochs, s.ridge))
-        weights = np.stack([w for w, _ in fits]) if fits else np.zeros((0, x.shape[1]))
-        return Pairs(names, weights, np.array([b for _, b in fits]))
-
     def decide(self, x: np.ndarray) -> tuple[str, float]:
         """The language with the most votes (ties: the larger sum of its margins, then the first
         name), and how surely, 0 to 1, it beats the others on average (1 if it is alone)."""
@@ -190,17 +174,71 @@ def train(labelled: DataFrame, s: Settings) -> Model | None:
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [(lang, features(t, s.buckets)) for lang, t in zip(pdf["lang"], pdf["text"])]
-            yield pd.DataFrame([(lang, x.astype("<f4").tobytes()) for lang, x in found if x is not None], columns=["lang", "x"])
+            found = [(lang, h, features(t, s.buckets)) for lang, h, t in zip(pdf["lang"], pdf["h"], pdf["text"])]
+            kept = [(s.families.get(lang, lang), lang, h, packed(x)) for lang, h, x in found if x is not None]
+            yield pd.DataFrame(kept, columns=["family", "lang", "h", "x"])
+
+    sample = chosen.select("lang", "h", "text").mapInPandas(vectors, "family string, lang string, h long, x binary")
+    return fit_sample(materialize(sample, "lang-sample"), s)
+
+
+def packed(x: np.ndarray) -> bytes:
+    """A vector as the places and values of its few components."""
+    at = np.flatnonzero(x)
+    return at.astype("<u4").tobytes() + x[at].astype("<f4").tobytes()
+
+
+def unpacked(rows: pd.Series, buckets: int) -> np.ndarray:
+    out = np.zeros((len(rows), buckets), np.float32)
+    for i, row in enumerate(rows):
+        n = len(row) // 8
+        out[i, np.frombuffer(row, "<u4", n)] = np.frombuffer(row, "<f4", n, 4 * n)
+    return out
+
 
-    sample = chosen.select("lang", "text").mapInPandas(vectors, "lang string, x binary").toPandas().sort_values(["lang", "x"])
-    if sample.empty:
+def fit_sample(sample: DataFrame, s: Settings) -> Model | None:
+    """The model of a sample (family, lang, h, x); every machine is fitted in a task of its own, on
+    at most ``sample_per_lang`` texts of each of its languages and, for families, ``pool`` more."""
+    spark = sample.sparkSession
+    langs = sample.select("family", "lang").distinct().toPandas()  # a row per language
+    if langs.empty:
         return None
-    x = np.stack([np.frombuffer(v, "<f4") for v in sample["x"]]).astype(np.float64)
-    lang = sample["lang"].to_numpy(str)
-    family = np.array([s.families.get(v, v) for v in lang])
-    own = {f: Pairs.fit(x[family == f], lang[family == f], s) for f in set(family.tolist())}
-    return Model(Machines.fit(x, family, s), own, s.buckets)
+    own = {f: sorted(of) for f, of in langs.groupby("family")["lang"]}
+    families = sorted(own)
+    machine = "a string, b string, w binary, intercept double"
+
+    def fit(name: tuple[str, str], rows: pd.DataFrame, positive: pd.Series) -> pd.DataFrame:
+        rows = rows.assign(y=np.where(positive, 1.0, -1.0)).sort_values(["lang", "x"])  # one order in every run
+        w, intercept = fit_svm(unpacked(rows["x"], s.buckets), rows["y"].to_numpy(), s.epochs, s.ridge)
+        return pd.DataFrame({"a": [name[0]], "b": [name[1]], "w": [w.astype("<f8").tobytes()], "intercept": [intercept]})
+
+    def weights(found: dict, keys: list) -> tuple[np.ndarray, np.ndarray]:
+        fits = [found[k] for k in keys]
+        return np.array([np.frombuffer(w, "<f8") for w, _ in fits]).reshape(len(fits), s.buckets), np.array([b for _, b in fits])
+
+    def fitted(machines: DataFrame) -> dict:
+        return {(r.a, r.b): (bytes(r.w), r.intercept) for r in machines.collect()}  # a row per machine
+
+    # every two languages of a family, on the texts of the two alone
+    pairs = [(lang, a, b) for of in own.values() for a, b in combinations(of, 2) for lang in (a, b)]
+    between = {}
+    if pairs:
+        two = sample.select("lang", "x").join(spark.createDataFrame(pairs, "lang string, a string, b string"), "lang")
+        between = fitted(two.groupBy("a", "b").applyInPandas(lambda key, rows: fit(key, rows, rows["lang"] == key[0]), machine))
+
+    # every family, on its texts against those of the pool that are not its own
+    apart = {(f, ""): (np.zeros(s.buckets).tobytes(), 0.0) for f in families}
+    if len(families) > 1:
+        pool = spark.sparkContext.broadcast(sample.orderBy("h", "lang").limit(s.pool).select("family", "lang", "x").toPandas())
+
+        def one_family(key: tuple[str], rows: pd.DataFrame) -> pd.DataFrame:
+            rest = pool.value[pool.value["family"] != key[0]]
+            both = pd.concat([rows[["family", "lang", "x"]], rest])
+            return fit((key[0], ""), both, both["family"] == key[0])
+
+        apart = fitted(sample.groupBy("family").applyInPandas(one_family, machine))
+    languages = {f: Pairs(of, *weights(between, list(combinations(of, 2)))) for f, of in own.items()}
+    return Model(Machines(families, *weights(apart, [(f, "") for f in families])), languages, s.buckets)
 
 
 def predict_language(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,13 +117,46 @@ def test_language_odd_rows(spark):
     assert langid.predict_language(df.limit(0)).count() == 0
 
 
-def test_family_comes_first():
-    s = langid.Settings(epochs=5)
+def _sample(spark, x, lang, s):
+    rows = [(s.families.get(v, v), v, i, langid.packed(row)) for i, (row, v) in enumerate(zip(x, lang.tolist()))]
+    return spark.createDataFrame(rows, "family string, lang string, h long, x binary").repartition(3)
+
+
+def test_family_comes_first(spark):
+    s = langid.Settings(epochs=5, buckets=6)
     x = np.eye(6)[[0, 1, 2, 3, 4, 5] * 4]
     lang = np.array(["en", "de", "fr", "es", "ru", "xx"] * 4)
-    family = np.array([s.families.get(v, v) for v in lang])
-    own = {f: langid.Pairs.fit(x[family == f], lang[family == f], s) for f in set(family)}
+    model = langid.fit_sample(_sample(spark, x, lang, s), s)
+    own = model.languages
     assert sorted(own) == ["germanic", "romance", "slavic", "xx"] and own["romance"].names == ["es", "fr"]
+    assert model.family.names == sorted(own) and len(own["xx"].weights) == 0
+    family = [model.family.names[i] for i in model.family.shares(x[:6]).argmax(axis=1)]
+    assert family == ["germanic", "germanic", "romance", "romance", "slavic", "xx"]
+
+
+def test_families_are_told_apart_on_a_pool(spark):
+    """Each family's machine is fitted on its own texts and the pool's others, as fitted plainly; a
+    smaller pool still tells them apart; vectors survive packing; too many languages are an error."""
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(40, 96))
+    lang = np.array([f"l{i:02d}" for i in range(40)] * 12)
+    x = (centre[np.arange(480) % 40] + rng.normal(scale=0.2, size=(480, 96))).astype(np.float32)
+    x[:, 3] = 0
+    x = np.abs(x) / np.linalg.norm(x, axis=1, keepdims=True)  # unit vectors of shares, as features() gives
+    assert (langid.unpacked(pd.Series([langid.packed(v) for v in x]), 96) == x).all()
+    for pool in (480, 100):
+        s = langid.Settings(buckets=96, pool=pool)
+        model = langid.fit_sample(_sample(spark, x, lang, s), s)
+        for i in (0, 17):
+            rest = np.flatnonzero((lang != f"l{i:02d}") & (np.arange(480) < pool))  # the pool: the first by h
+            at = sorted([*np.flatnonzero(lang == f"l{i:02d}"), *rest], key=lambda j: (lang[j], langid.packed(x[j])))
+            w, b = langid.fit_svm(x[at], np.where(lang[at] == f"l{i:02d}", 1.0, -1.0), s.epochs, s.ridge)
+            assert np.allclose(model.family.weights[i], w) and np.isclose(model.family.intercepts[i], b)
+        got = [model.family.names[j] for j in model.family.shares(x).argmax(axis=1)]
+        assert np.mean(np.array(got) == lang) > 0.9, pool
+    docs = spark.createDataFrame([(i, "abc " + v, v) for i, v in enumerate(lang.tolist())], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        langid.predict_language(docs, langid.Settings(max_langs=39))
 
 
 def test_toxic_rows_go_by_id_and_text(spark):
@@ -133,15 +167,17 @@ def test_toxic_rows_go_by_id_and_text(spark):
     assert {(i, t) for i, t in kept if i is None or i < 20} == {(None, good), (1, good)}
 
 
-def test_pairs_vote_within_a_family():
+def test_pairs_vote_within_a_family(spark):
     """Four languages: a machine for every two, fitted on those two alone, and the majority of
     their votes (ties by margins, then by name), against a plain count."""
     rng = np.random.default_rng(3)
     centre = rng.normal(size=(4, 12))
     lang = np.array(["da", "de", "en", "nl"] * 60)
-    x = centre[np.arange(240) % 4] + rng.normal(scale=0.5, size=(240, 12))
-    s = langid.Settings(epochs=8)
-    pairs = langid.Pairs.fit(x, lang, s)
+    x = (centre[np.arange(240) % 4] + rng.normal(scale=0.5, size=(240, 12))).astype(np.float32)
+    at = sorted(range(240), key=lambda i: (lang[i], langid.packed(x[i])))
+    x, lang = x[at], lang[at]
+    s = langid.Settings(epochs=8, buckets=12)
+    pairs = langid.fit_sample(_sample(spark, x, lang, s), s).languages["germanic"]
     assert len(pairs.weights) == 6
     machines = {}
     for a, b in [("da", "de"), ("da", "en"), ("da", "nl"), ("de", "en"), ("de", "nl"), ("en", "nl")]:
