@@ -1,0 +1,61 @@
+"""What a toxicity task holds at once, in texts and in letters."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+
+from aqualedger.llm import toxicity
+from aqualedger.llm.util import batches_of
+
+KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def test_batches_are_bounded_and_the_setting_comes_back(spark):
+    before = spark.conf.get(KEY)
+
+    def sizes(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    with batches_of(spark, 7):
+        seen = [r.n for r in spark.range(100).coalesce(1).mapInPandas(sizes, "n long").collect()]
+    assert sum(seen) == 100 and max(seen) <= 7
+    assert spark.conf.get(KEY) == before
+
+
+def test_texts_are_counted_and_scored_in_small_batches(spark, monkeypatch):
+    """Both passes over the texts, training and scoring, get few of them at a time."""
+    at_work = []
+    write, train = toxicity.materialize, toxicity.batches_of
+    monkeypatch.setattr(toxicity, "materialize", lambda df, name: at_work.append(int(spark.conf.get(KEY))) or write(df, name))
+    monkeypatch.setattr(toxicity, "batches_of", lambda s, n: at_work.append(n) or train(s, n))
+    docs = spark.createDataFrame([(i, f"word{i} some text") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    assert toxicity.toxicity_scores(docs, labels).count() == 40
+    assert at_work == [toxicity.TEXTS_AT_ONCE] * 3 and toxicity.TEXTS_AT_ONCE <= 1000
+
+
+def test_blocks_of_words_are_small_and_lose_none():
+    texts = ["abcdefghij " * 20_000] * 12 + ["", "xyz"]
+    blocks = list(toxicity.tokens(texts))
+    held = [sum(len(distinct[i]) for i in idx) for distinct, idx, _ in blocks]
+    assert max(held) <= 1_000_000 and sum(held) == 12 * 200_000 + 3
+    assert sorted({int(i) for _, _, text in blocks for i in text}) == [*range(12), 13]
+
+
+def test_counts_handed_on_in_parts_make_the_same_model(spark, monkeypatch):
+    """A task that hands its n-gram counts on more than once trains the same models."""
+    rows = [(f"alpha{i % 7} beta{i % 5} gamma", i % 2) for i in range(60)]
+    labelled = spark.createDataFrame(rows, "text string, toxic long").coalesce(1)
+    s = toxicity.Settings()
+    group = toxicity._fold(pd.Series([t for t, _ in rows])) * 2 + np.array([t for _, t in rows])
+    g, gram, n = toxicity.count_grams([t for t, _ in rows], group, s.order)
+    want = pd.DataFrame({"toxic": g % 2, "gram": gram, "n": n}).groupby(["toxic", "gram"])["n"].sum()
+    monkeypatch.setattr(toxicity, "TEXTS_AT_ONCE", 9)
+    for at_once in (3, toxicity.COUNTS_AT_ONCE):
+        monkeypatch.setattr(toxicity, "COUNTS_AT_ONCE", at_once)
+        full = toxicity.train(labelled, s)[0]
+        for toxic in (0, 1):
+            ids, found = full.own[toxic][:2]
+            assert dict(zip(ids.tolist(), found.astype(int).tolist())) == want[toxic].to_dict()
