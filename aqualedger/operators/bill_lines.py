@@ -32,6 +32,8 @@ LINE_SCHEMA = T.StructType(
 )
 LINE_COLUMNS = [f.name for f in LINE_SCHEMA.fields]
 BILL_KEYS = ["cihis_cust", "cihis_date"]
+HEADER_COLUMNS = ["cihis_reference", "cisnumberofbilledaccount", "premisenumber"]  # from the billing record
+OWN_SCHEMA = T.StructType([f for f in LINE_SCHEMA.fields if f.name not in HEADER_COLUMNS])
 
 
 def _as_line(df: DataFrame) -> DataFrame:
@@ -55,25 +57,15 @@ def bill_headers(
     return hf.join(wcm, F.col("cihis_cust") == F.col("customernumber"), "left").drop("customernumber")
 
 
-def _under_headers(lines: DataFrame, headers: DataFrame, repeated: bool) -> DataFrame:
-    """Each line under every billing record of its customer and date; a customer's many records
-    of one date are dealt to seats, and as the seat is a key, the join has shuffles of its own in
-    which AQE can split a customer's many lines.  Without ``repeated``, equal records count once."""
-    named = headers.select(*[F.col(k).alias(f"hf_{k}") for k in BILL_KEYS], "cihis_reference", "cisnumberofbilledaccount", "premisenumber")
-    on = [(k, f"hf_{k}") for k in BILL_KEYS]
-    joined = split_join(lines.drop("cisnumberofbilledaccount", "premisenumber"), named, on, "inner", copies=None if repeated else "_times")
-    return _as_line(joined)
+def item_lines(items: DataFrame) -> DataFrame:
+    """The line columns of flat-rate items that do not come from the billing record."""
+    return items.select(*OWN_SCHEMA.names).to(OWN_SCHEMA)
 
 
-def bill_items_branch(headers: DataFrame, items: DataFrame, repeated: bool = True) -> DataFrame:
-    """Billing records that have flat-rate items (outer join + not-null = inner join)."""
-    return _under_headers(items, headers, repeated)
-
-
-def bill_metered_branch(headers: DataFrame, usage: DataFrame, repeated: bool = True) -> DataFrame:
-    """Billing records that have metered usage.  CIS number and premise come from the
-    billing record's customer, not from the usage row."""
-    tu = usage.select(
+def metered_lines(usage: DataFrame) -> DataFrame:
+    """The line columns of metered usage that do not come from the billing record.  CIS number
+    and premise come from the billing record's customer, not from the usage row."""
+    return usage.select(
         F.col("accountnumber").alias("cihis_cust"),
         F.col("billdate").alias("cihis_date"),
         F.col("servicenumbersequence").alias("cihis_service"),
@@ -86,13 +78,37 @@ def bill_metered_branch(headers: DataFrame, usage: DataFrame, repeated: bool = T
         "fromdate",
         "todate",
         "totalcharges",
-    )
-    return _under_headers(tu, headers, repeated)
+    ).to(OWN_SCHEMA)
+
+
+def _under_headers(lines: DataFrame, headers: DataFrame, seat: str | None = None) -> DataFrame:
+    """Each line under every billing record of its customer and date; a customer's many records
+    of one date are dealt to seats, and as the seat is a key, the join has shuffles of its own in
+    which AQE can split a customer's many lines.  With ``seat``, equal records count once, and a
+    column of that name has the line's seat."""
+    named = headers.select(*[F.col(k).alias(f"hf_{k}") for k in BILL_KEYS], *HEADER_COLUMNS)
+    on = [(k, f"hf_{k}") for k in BILL_KEYS]
+    return split_join(lines, named, on, "inner", copies="_times" if seat else None, seat=seat)
+
+
+def bill_items_branch(headers: DataFrame, items: DataFrame) -> DataFrame:
+    """Billing records that have flat-rate items (outer join + not-null = inner join)."""
+    return _as_line(_under_headers(item_lines(items), headers))
+
+
+def bill_metered_branch(headers: DataFrame, usage: DataFrame) -> DataFrame:
+    """Billing records that have metered usage."""
+    return _as_line(_under_headers(metered_lines(usage), headers))
+
 
+def bill_lines(headers: DataFrame, items: DataFrame, usage: DataFrame) -> DataFrame:
+    """UNION (distinct) of both branches: duplicates within a branch collapse too.
 
-def bill_lines(items_branch: DataFrame, metered_branch: DataFrame) -> DataFrame:
-    """UNION (distinct) of both branches: duplicates within a branch collapse too."""
-    return items_branch.unionByName(metered_branch).distinct()
+    The branches meet the same billing records on the same keys, so their lines are united first
+    and meet them in one join.  Equal lines have equal billing records, hence one seat: they are
+    found where the join leaves them, without another shuffle of the whole lines."""
+    both = _under_headers(item_lines(items).unionByName(metered_lines(usage)), headers, "_seat")
+    return _as_line(both.select(*LINE_COLUMNS, "_seat").distinct())
 
 
 def collapsed_lines(items_branch: DataFrame, metered_branch: DataFrame) -> DataFrame:

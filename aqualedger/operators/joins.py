@@ -57,6 +57,7 @@ def split_join(
     seat_rows: int | None = None,
     copies: str | None = None,
     deal_left: bool = False,
+    seat: str | None = None,
 ) -> DataFrame:
     """``left [LEFT OUTER | INNER] JOIN right ON left.a = right.b AND ...`` (``on`` = [(a, b), ...]).
 
@@ -69,7 +70,10 @@ def split_join(
     same way and repeats the right ones; it suits a left input that is the output of an aggregate
     (its distinct rows spread over their seats, and the count reads the aggregate's shuffle).
     Without it AQE splits a hot left key.  Only keys with two seats or more are looked up, so the
-    looked-up (and broadcast) table has at most a row of 24 bytes for every ``seat_rows`` rows."""
+    looked-up (and broadcast) table has at most a row of 24 bytes for every ``seat_rows`` rows.
+
+    ``seat`` names a column to keep a joined row's seat in: it follows from the right row, and the
+    result lies by the keys and it, so a distinct over all columns and the seat needs no shuffle."""
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
     _check_names(left, right)
@@ -89,12 +93,12 @@ def split_join(
         hot = hot.unionByName(_hot_keys(left, own_key, "_own_seats", "_seats", seat_rows))
         hot = hot.groupBy("_key").agg(F.max("_seats").alias("_seats"), F.max("_own_seats").alias("_own_seats"))
 
-    def seated(df: DataFrame, key: Column, columns: Sequence[str], seats: str, seat: str, others: str, each: str) -> DataFrame:
-        """Every row at its own seat ``seat`` of ``seats``, once for each seat of the other side."""
+    def seated(df: DataFrame, key: Column, columns: Sequence[str], seats: str, own_seat: str, others: str, each: str) -> DataFrame:
+        """Every row at its own seat ``own_seat`` of ``seats``, once for each seat of the other side."""
         found = df.withColumn("_key", key).join(F.broadcast(hot), "_key", "left")
         own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.col(seats)).cast("int")
         guest = F.explode(F.sequence(F.lit(0), F.coalesce(others, F.lit(1)) - 1))
-        return found.withColumn(seat, F.coalesce(own, F.lit(0))).withColumn(each, guest)
+        return found.withColumn(own_seat, F.coalesce(own, F.lit(0))).withColumn(each, guest)
 
     dealt = seated(rows, key, right.columns, "_seats", "_r_seat", "_own_seats", "_r_guest")
     dealt = dealt.select(*[F.col(f"`{c}`") for c in right.columns], "_copies", "_r_seat", "_r_guest")
@@ -105,7 +109,8 @@ def split_join(
     joined = guests.join(dealt, met, how)
     if how == "left":  # the left rows of a key with several seats have partners, though perhaps not at each
         joined = joined.where(F.col("_copies").isNotNull() | (F.coalesce("_seats", F.lit(1)) == 1))
-    joined = joined.select(*[F.col(f"`{c}`") for c in [*left.columns, *right.columns]], F.coalesce("_copies", F.lit(1).cast("long")).alias("_copies"))
+    at = [F.col("_l_guest").alias(seat)] if seat else []
+    joined = joined.select(*[F.col(f"`{c}`") for c in [*left.columns, *right.columns]], *at, F.coalesce("_copies", F.lit(1).cast("long")).alias("_copies"))
     return joined.withColumnRenamed("_copies", copies) if copies else expand(joined, "_copies")
 
 

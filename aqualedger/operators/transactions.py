@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.datekeys import DateKey, in_months, in_window
 from ..sources.landing import BillingTables
-from .bill_lines import bill_headers, bill_items_branch, bill_lines, bill_metered_branch
+from .bill_lines import bill_headers, bill_lines
 from .blocks import account_premise_link, block_header, block_use, block_use_by_premise
 from .items import billable_items
 from .joins import expand, split_join, with_copies
@@ -32,7 +32,7 @@ def bill_lines_in_window(
     if start_key is not None:
         # what the join would tell Spark of the date, told to both readings of its inputs
         usage = usage.where(in_window("billdate", start_key, end_key))
-    return bill_lines(bill_items_branch(headers, items, repeated=False), bill_metered_branch(headers, usage, repeated=False))
+    return bill_lines(headers, items, usage)
 
 
 def premise_block_use(

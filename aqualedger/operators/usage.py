@@ -81,10 +81,13 @@ def total_usage(
     both show the same YYYYMMDD ``billdate``.  ``days`` may be fractional.  The three
     "later" columns are typed NULLs.  ``sorted`` orders the output by the group keys
     (ascending, NULLs last; the bill time sorts by its raw value).
+
+    Both joins are left joins on keys of the reading, so their order changes no row: the
+    customer's comes last, as the sum can run on its partitioning by account.
     """
     ch = readings(hist, start_key, end_key)
     wcm = customers.select("customernumber", "cisnumberofbilledaccount", "premisenumber")
-    j = _with_register(ch.join(wcm, F.col("accountnumber") == F.col("customernumber"), "left"), registers)
+    j = _with_register(ch, registers).join(wcm, F.col("accountnumber") == F.col("customernumber"), "left")
     derived = j.select(
         "accountnumber",
         F.col("billdate").alias("billdate_ts"),

@@ -1,0 +1,51 @@
+"""Shuffles of the united bill lines: sums and the distinct run where the joins leave the rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal as D
+
+from aqualedger.operators import bill_lines as bl
+from aqualedger.operators import joins, transactions
+from aqualedger.operators.items import billable_items
+from aqualedger.operators.usage import total_usage
+
+
+def _tables(tables):
+    day = dt.datetime(2021, 3, 5)
+    item = dict(cihis_date=20210305, cihis_service=1, cihis_rate1=1, cihis_class_num1=1, cihis_from_date=3012021, cihis_to_date=3312021, cihis_amt=D(5), cihis_type_code=34, cihis_class_type1=4)
+    read = dict(billdate=day, transactioncode=2, servicenumbersequence=1, readingclass1=1, rate1=1, device="A", devicecode=0, previousreaddate=day, presentreaddate=day, consumption=D(1), billingamount=D(7))
+    return tables(
+        fcihistv=[item | dict(cihis_cust=c) for c in range(9)] + [item | dict(cihis_cust=None), item | dict(cihis_cust=1, cihis_type_code=95), item | dict(cihis_cust=1, cihis_type_code=95, cihis_to_date=3302021)],
+        cibillableitem=[dict(customernumber=c, servicenumber=1, dateiteminstalled=day) for c in range(3)],
+        fcihistf=[dict(cihis_cust=c % 9, cihis_date=20210305, cihis_code=99, cihis_reference=c // 2) for c in range(60)] + [dict(cihis_cust=2, cihis_date=20210305, cihis_code=99, cihis_reference=None)] * 2,
+        ciconsumptionhist=[read | dict(accountnumber=c % 7, device=f"A{c % 3}", billdate=day + dt.timedelta(hours=c % 4)) for c in range(80)] + [read | dict(accountnumber=None)],
+        wawatercustomermaster=[dict(customernumber=c // 2, cisnumberofbilledaccount=c % 3, premisenumber=c // 4) for c in range(12)] + [dict(customernumber=3, cisnumberofbilledaccount=0, premisenumber=1)] * 2,
+        fciregister=[dict(ciregister_device=f"A{d}", ciregister_device_cd=0, ciregister_num=1, ciregister_cmp_size=d) for d in (0, 1, 1)],
+    )
+
+
+def test_united_lines_shuffle_once_for_the_billing_records(spark, tables, monkeypatch):
+    """With every join shuffled, the lines are not shuffled by all their columns, neither to sum
+    the usage nor to find equal lines; and they are those of the two branches, hot keys or not."""
+    t = _tables(tables)
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    headers = bl.bill_headers(t.fcihistf, t.wawatercustomermaster)
+    items = billable_items(t.fcihistv, t.cibillableitem)
+    usage = total_usage(t.ciconsumptionhist, t.wawatercustomermaster, t.fciregister)
+    want = {tuple(r) for branch in (bl.bill_items_branch(headers, items), bl.bill_metered_branch(headers, usage)) for r in branch.collect()}
+    assert {None, 5} & {r[11] for r in want} and len(want) > 100
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        for seats in (joins.SEAT_ROWS, 2):
+            monkeypatch.setattr(joins, "SEAT_ROWS", seats)
+            out = transactions.bill_lines_in_window(t, None, None)
+            got = [tuple(r) for r in out.collect()]
+            assert len(got) == len(set(got)) and set(got) == want
+            plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "ssize" in x]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
